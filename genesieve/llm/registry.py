@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .kd_shards import shard_by_tree
 from .quality_rules import apply_policy, ledger
+from .url_templates import filter_urls
+
+SHARDS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_by_tree(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -68,7 +82,7 @@ FROM f
 
 
 def queries() -> dict[str, Query]:
-    return {"op8_exact_dedup": op8_exact_dedup, "op10_quality_rules": op10_quality_rules}
+    return {"op2_url_templates": op2_url_templates, "op9_kd_shards": op9_kd_shards, "op8_exact_dedup": op8_exact_dedup, "op10_quality_rules": op10_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
