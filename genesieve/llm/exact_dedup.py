@@ -55,7 +55,9 @@ def _split(rows: DataFrame, digit: int) -> DataFrame:
     key = ["_top", "_tag", "_digit"]
     shared = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.max("doc_id").alias("_max")).where("_n > 1")
     more = (F.col("_n") > 1) & (F.octet_length("_rest") > digit)
-    return rows.join(shared.hint("shuffle_hash"), key, "left").select(
+    # one more key than the aggregation has: the join gets exchanges of its own, so that Spark may split a hot group
+    rows, shared = (x.withColumn("_bytes", F.octet_length("_digit")) for x in (rows, shared))
+    return rows.join(shared.hint("shuffle_hash"), [*key, "_bytes"], "left").select(
         "doc_id",
         "text_sha256",
         F.when(F.col("_n").isNull(), F.col("doc_id")).otherwise(F.col("_max")).alias("keep_id"),

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bin_packing import pack_documents
+from .byte_bpe import encode_documents
 from .exact_dedup import exact_dedup
 from .kd_shards import shard_by_tree
 from .quality_rules import apply_policy, ledger
@@ -30,6 +33,15 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False).drop("ids")
+
+
+def op7_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -82,7 +94,8 @@ FROM f
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_url_templates": op2_url_templates, "op9_kd_shards": op9_kd_shards, "op8_exact_dedup": op8_exact_dedup, "op10_quality_rules": op10_quality_rules}
+    found = (op2_url_templates, op3_byte_bpe, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
