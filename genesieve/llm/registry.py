@@ -12,6 +12,8 @@ from .bin_packing import pack_documents
 from .byte_bpe import encode_documents
 from .exact_dedup import exact_dedup
 from .kd_shards import shard_by_tree
+from .language_id import held_out, predict, train_on
+from .near_dedup import near_duplicates
 from .quality_rules import apply_policy, ledger
 from .url_templates import filter_urls
 
@@ -38,6 +40,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False).drop("ids")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = train_on(docs.where(~held_out()))
+    return predict(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -94,7 +106,7 @@ FROM f
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_url_templates, op3_byte_bpe, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
+    found = (op2_url_templates, op3_byte_bpe, op5_near_dedup, op6_language_id, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
