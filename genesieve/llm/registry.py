@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .kd_shards import shard_by_tree
 from .language_id import held_out, predict, train_on
 from .near_dedup import near_duplicates
+from .pii import digest, find_spans, train
 from .quality_rules import apply_policy, ledger
 from .url_templates import filter_urls
 
@@ -40,6 +41,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False).drop("ids")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_spans(table(spark, sf_dir, "documents"), train(spark)))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -106,7 +111,7 @@ FROM f
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_url_templates, op3_byte_bpe, op5_near_dedup, op6_language_id, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
+    found = (op2_url_templates, op3_byte_bpe, op4_pii, op5_near_dedup, op6_language_id, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
