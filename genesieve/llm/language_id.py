@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 RUN = 64
 UNKNOWN = "und"
@@ -218,43 +219,40 @@ def train_on(docs: DataFrame, per_lang: int = 1500, runs_per_doc: int = 4, id_co
     return train(sample_runs(docs, per_lang, runs_per_doc, id_col, text_col, lang_col), **options)
 
 
-def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
+def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None, block_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, lang_pred, score: the likeliest language and its pooled probability; ``und`` and 0 for a text without a letter.
 
-    Null and empty texts have no letter. Rows that repeat an id are judged each;
-    other columns are ignored; an empty table gives an empty result. If nothing was
-    learned (no labelled row), every text is ``und``.
+    Null and empty texts have no letter. Rows that repeat an id are judged each; an
+    empty table gives an empty result. If nothing was learned (no labelled row), every
+    text is ``und``. With ``keep``, those columns of ``docs`` are returned before
+    lang_pred and score, in place of doc_id.
     """
 
+    def judge(texts: list[str | None]) -> Iterator[tuple[str, float]]:
+        bodies = [t.encode("utf-8") if t and LETTER.search(t) else b"" for t in texts]
+        prob = document_probabilities(net, bodies) if net.langs else np.zeros((len(bodies), 1))
+        for body, best, row in zip(bodies, prob.argmax(axis=1).tolist(), prob, strict=True):
+            yield (net.langs[best], min(1.0, float(row[best]))) if body and net.langs else (UNKNOWN, 0.0)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, langs, scores = batch.column(0), [], []
-            pending: list[bytes] = []
-
-            def flush(pending: list[bytes], langs: list, scores: list) -> None:
-                if not pending:
-                    return
-                prob = document_probabilities(net, pending) if net.langs else np.zeros((len(pending), 1))
-                best = prob.argmax(axis=1)
-                for text, b, row in zip(pending, best.tolist(), prob, strict=True):
-                    known = bool(text) and bool(net.langs)
-                    langs.append(net.langs[b] if known else UNKNOWN)
-                    scores.append(min(1.0, float(row[b])) if known else 0.0)
-                pending.clear()
-
-            size = 0
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                body = text.encode("utf-8") if LETTER.search(text) else b""
-                pending.append(body)
-                size += len(body)
+            found, pending, size = [], [], 0
+            for value in batch.column(0):
+                pending.append(value.as_py())
+                size += len(pending[-1] or "")
                 if size >= block_bytes:
-                    flush(pending, langs, scores)
-                    size = 0
-            flush(pending, langs, scores)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(work, "doc_id long, lang_pred string, score double")
+                    found += judge(pending)
+                    pending, size = [], 0
+            if pending:
+                found += judge(pending)
+            arrays = [*batch.columns[1:], pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    kept = [F.col(id_col).cast("long").alias("doc_id")] if keep is None else [F.col(c) for c in keep]
+    rows = docs.select(F.col(text_col).cast("string").alias("_text"), *kept)
+    schema = StructType([*rows.schema.fields[1:], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    names = schema.names
+    return rows.mapInArrow(work, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -13,6 +13,7 @@ from .byte_bpe import encode_documents
 from .exact_dedup import exact_dedup
 from .kd_shards import shard_by_tree
 from .language_id import held_out, predict, train_on
+from .license_scan import scan_licenses
 from .near_dedup import near_duplicates
 from .pii import digest, find_spans, train
 from .quality_rules import apply_policy, ledger
@@ -27,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
@@ -111,7 +116,7 @@ FROM f
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_url_templates, op3_byte_bpe, op4_pii, op5_near_dedup, op6_language_id, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
+    found = (op1_license_scan, op2_url_templates, op3_byte_bpe, op4_pii, op5_near_dedup, op6_language_id, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
