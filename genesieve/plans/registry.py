@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from genesieve.plans import oracle
+from genesieve.plans.queries import ALL, bound
+
 FLAGSHIP = "feature_matrix"
 
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {q.__name__: bound(q) for q in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.all_sql()
