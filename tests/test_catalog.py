@@ -1,0 +1,23 @@
+"""Sources, sinks and layout."""
+
+from genesieve.sources.catalog import GOLD_STANDARDS, STRING_LINKS, Catalog, Dataset, csv, write_report
+
+
+def test_round_trips(spark, tmp_path):
+    (tmp_path / "links.txt").write_text("p1 p2 string_score\na b 900\n")
+    (tmp_path / "gold.jsonl").write_text('{"association_info": {"otg_id": "S1"}, "metadata": {"set_label": "x"}}\n')
+    cat = Catalog(spark, "v1", {
+        "links": csv(f"{tmp_path}/links.txt", STRING_LINKS, " "), "gold": Dataset(f"{tmp_path}/gold.jsonl", "json", GOLD_STANDARDS),
+        "out": Dataset(f"{tmp_path}/{{version}}/out"), "copy": Dataset(f"{tmp_path}/{{version}}/copy"),
+    })
+    assert cat.read("links").collect() == [("a", "b", 900)]
+    assert cat.read("gold", ["association_info.otg_id"]).collect() == [("S1",)]
+    df = spark.range(100).selectExpr("id", "id % 3 as k")
+    cat.write("out", df, sort=["k", "id"], files=3)
+    cat.write("out", df.limit(1))
+    assert cat.read("out").count() == 100
+    cat.write("out", df.limit(1), overwrite=True)
+    cat.copy("out", "copy")
+    assert cat.read("copy", ["k"]).count() == 1
+    write_report(df.limit(2), f"{tmp_path}/report", "\t")
+    assert len(list((tmp_path / "report").glob("*.csv"))) == 1
