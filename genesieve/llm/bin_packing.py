@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import pack
-from .common import materialise, salted_rank
+from .common import even_salts, materialise, salted_rank
 
 #: Texts of these characters alone are tokenised stretch by stretch; others are handed to the tokenizer whole.
 PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\xff]*")
@@ -157,7 +157,7 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int
     return rows
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, rows_per_salt: int = 2000) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids if ``keep_ids``).
 
     A null text counts as empty and still has the end id. Only documents longer than
@@ -168,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, e
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``capacity`` rows
     rows = plan_bins(counts, capacity)
     places = docs.sparkSession.createDataFrame(rows, "length long, _from long, _to long, _per long, _bin long, _offset long")
-    salts = max(1, -(-max(counts.values(), default=1) // rows_per_salt))
+    salts = even_salts(max(counts.values(), default=1))
     ranked = salted_rank(pieces, ["length"], [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], F.xxhash64("doc_id", "piece"), salts, "_rank")
     # the table of places is bounded by the capacity (see above), not by the corpus
     placed = ranked.join(F.broadcast(places), "length").where("_rank >= _from and _rank < _to")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -38,13 +39,18 @@ def release_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def even_salts(most_rows: int) -> int:
+    return max(1, math.isqrt(max(0, most_rows)))
+
+
 def salted_rank(df: DataFrame, key: list[str], order: list[Column], salt: Column, salts: int, out: str) -> DataFrame:
     """Add ``out``: a gapless number from 0 within ``key``, without ever gathering a key in one task.
 
     Rows of a key are dealt by ``salt`` into ``salts`` pieces; each piece is
-    numbered on its own and shifted by the rows of the pieces before it. The
-    table of piece sizes has at most (keys x salts) rows. ``order`` must be total
-    within a piece for the numbers to be the same after a task is run again.
+    numbered on its own and shifted by the rows of the pieces before it. With the
+    square root of the largest key's rows as ``salts`` (``even_salts``), neither a piece
+    nor a key's list of pieces grows faster than that root. ``order`` must be
+    total within a piece for the numbers to be the same after a task is run again.
     """
     dealt = df.withColumn("_salt", F.pmod(salt, F.lit(salts)).cast("int"))
     sizes = dealt.groupBy(*key, "_salt").agg(F.count(F.lit(1)).alias("_n"))
