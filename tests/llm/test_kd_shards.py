@@ -1,0 +1,55 @@
+import random
+import zlib
+
+from genesieve.llm.kd_shards import shard_by_tree
+
+from .helpers import DOCS, empty, odd
+
+
+def sound(rows, shards):
+    """Slots gapless in every shard."""
+    by = {}
+    for r in rows:
+        assert 0 <= r["shard"] < shards
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in by.values())
+
+
+def test_sizes_are_near_equal_and_copies_together(spark):
+    rng = random.Random(1)
+    rows = [(i, "x" * rng.randrange(10, 600) + str(i), rng.choice(["en", "de"]), f"s{rng.randrange(9)}", 1) for i in range(2500)]
+    rows += [(10_000 + i, "copy " * 30, "en", f"s{i % 9}", 1) for i in range(300)] + [(20_000 + i, "pair" * 20 + str(i // 2), "en", f"s{i % 9}", 1) for i in range(200)]
+    out = shard_by_tree(spark.createDataFrame(rows, DOCS), 16).collect()
+    sound(out, 16)
+    assert sorted(r["doc_id"] for r in out) == sorted(r[0] for r in rows)
+    text = {r[0]: r[1] for r in rows}
+    assert all(r["size"] == len(text[r["doc_id"]]) + 1 and r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode()) for r in out)
+    load = {}
+    place = {}
+    for r in out:
+        load[r["shard"]] = load.get(r["shard"], 0) + r["size"]
+        place.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    mean = sum(load.values()) / 16
+    assert len(load) == 16 and max(load.values()) < 1.05 * mean and min(load.values()) > 0.95 * mean
+    assert all(len(p) == 1 for p in place.values())
+
+
+def test_a_group_larger_than_a_shard_is_cut(spark):
+    rows = [(i, "one text for all" * 10, "en", "s", 1) for i in range(3000)] + [(5000 + i, f"own {i} " * 20, "en", "s", 1) for i in range(3000)]
+    out = shard_by_tree(spark.createDataFrame(rows, DOCS), 4).collect()
+    sound(out, 4)
+    load = {}
+    for r in out:
+        load[r["shard"]] = load.get(r["shard"], 0) + r["size"]
+    mean = sum(load.values()) / 4
+    assert max(load.values()) < 1.1 * mean and min(load.values()) > 0.9 * mean
+
+
+def test_odd_rows(spark):
+    out = shard_by_tree(odd(spark, ("size", "shard", "w", "_same", "hash", "_piece")), 4).collect()
+    sound(out, 4)
+    assert len(out) == 10 and {r["size"] for r in out if r["doc_id"] in (1, 2)} == {1}
+
+
+def test_empty_table(spark):
+    assert shard_by_tree(empty(spark), 4).count() == 0

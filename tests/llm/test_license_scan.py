@@ -1,0 +1,52 @@
+import random
+
+from genesieve.llm.license_scan import TEMPLATES, WORD, Scanner, _increasing, patience, scan_licenses
+
+from .helpers import empty, odd
+
+
+def test_longest_increasing_run_equals_dynamic_programming():
+    rng = random.Random(1)
+    for _ in range(100):
+        ys = rng.sample(range(30), rng.randrange(12))
+        best = [1] * len(ys)
+        for i in range(len(ys)):
+            best[i] = max([1, *(best[j] + 1 for j in range(i) if ys[j] < ys[i])])
+        run = _increasing(list(enumerate(ys)))
+        assert len(run) == max(best, default=0) and all(a[1] < b[1] for a, b in zip(run, run[1:], strict=False))
+
+
+def test_patience_is_an_increasing_alignment():
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.choice("abcdefgh") for _ in range(rng.randrange(15))] for _ in range(2))
+        pairs = patience(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(x < y and p < q for (x, p), (y, q) in zip(pairs, pairs[1:], strict=False))
+    assert len(patience(list("abcab"), list("abcab"))) == 5
+
+
+def test_every_template_is_found_among_other_words():
+    rng, scanner = random.Random(3), Scanner(TEMPLATES)
+    for name, text in TEMPLATES.items():
+        filler = lambda: " ".join(f"w{rng.randrange(999)}" for _ in range(200))
+        found = scanner.scan(f"{filler()} {text} {filler()} {text} {filler()}")
+        n = len(WORD.findall(text))
+        assert [(m.template, m.start, m.end) for m in found] == [(name, 200, 200 + n), (name, 400 + n, 400 + 2 * n)]
+
+
+def test_edited_notices_and_other_texts():
+    scanner = Scanner(TEMPLATES)
+    words = TEMPLATES["mit"].split()
+    kept = " ".join(w for i, w in enumerate(words) if i % 9)
+    assert [m.template for m in scanner.scan(kept)] == ["mit"] and 0.8 <= scanner.scan(kept)[0].coverage < 0.95
+    half = " ".join(words[: len(words) // 2])
+    assert scanner.scan(half) == [] and scanner.scan("the license of the thing under which") == []
+    assert [m.template for m in scanner.scan("Licensed under CC BY-NC 4.0.")] == ["cc-by-nc-4.0-notice"]
+
+
+def test_odd_rows(spark):
+    assert scan_licenses(odd(spark, ("template", "coverage", "_text"))).count() == 0
+    assert scan_licenses(empty(spark)).count() == 0
+    df = spark.createDataFrame([(3, "x Released under the MIT License. y"), (3, "x Released under the MIT License. y")], "doc_id long, text string")
+    assert [tuple(r) for r in scan_licenses(df).collect()] == [(3, "mit-notice", 1.0, 5, 1, 6)] * 2
