@@ -31,7 +31,7 @@ class Rule:
 RULES = (
     Rule("too_few_words", "n_words < 50"),
     Rule("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
-    Rule("symbol_heavy", "10 * n_symbols > 4 * word_chars"),
+    Rule("symbol_heavy", "10 * n_symbols > n_words"),
     Rule("word_too_long_on_average", "word_chars > 60 * n_words"),
     Rule("duplicate_lines", "n_lines >= 8 and 10 * n_dup_lines > 9 * n_lines"),
     Rule("very_short_words", "n_words >= 50 and word_chars < n_words * 1.2"),

@@ -104,7 +104,7 @@ WITH t AS (
   SELECT m.*, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM m LEFT JOIN rep USING (row_id)
 ), f AS (
   SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
-         + 4 * (10 * n_symbols > 4 * word_chars)::INT + 8 * (word_chars > 60 * n_words)::INT
+         + 4 * (10 * n_symbols > n_words)::INT + 8 * (word_chars > 60 * n_words)::INT
          + 16 * (n_lines >= 8 AND 10 * n_dup_lines > 9 * n_lines)::INT
          + 32 * (n_words >= 50 AND word_chars < n_words * 1.2)::INT AS BIGINT) AS failed
   FROM x
