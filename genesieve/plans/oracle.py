@@ -258,6 +258,17 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         UNION ALL SELECT 'chosen', gs_set, count(*), 0 FROM gold GROUP BY gs_set
         UNION ALL SELECT 'labelled', gs_set, count(*) FILTER (WHERE gold_standard_status = 1), count(*) FILTER (WHERE gold_standard_status <> 1) FROM labelled WHERE gs_set IS NOT NULL GROUP BY gs_set""",
     ),
+    "fold_assignment": (
+        ("labelled",),
+        """WITH_ counts AS (SELECT chrom, count(*) AS n FROM labelled WHERE gold_standard_status = 1 GROUP BY chrom),
+        allowed AS (SELECT CAST(i AS VARCHAR) AS chrom, i FROM range(1, 23) t(i) UNION ALL SELECT 'X', 23),
+        line AS (SELECT chrom, n, row_number() OVER (ORDER BY chrom) AS k FROM counts WHERE chrom IN (SELECT chrom FROM allowed)
+            UNION ALL SELECT chrom, 0, (SELECT count(*) FROM counts) + row_number() OVER (ORDER BY i) FROM allowed WHERE chrom NOT IN (SELECT chrom FROM counts)),
+        walk(k, chrom, fold, loads) AS (SELECT CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST([0, 0, 0, 0, 0] AS BIGINT[])
+            UNION ALL SELECT q.k, q.chrom, CAST(list_position(loads, list_min(loads)) - 1 AS BIGINT), list_transform(loads, lambda x, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN x + q.n ELSE x END)
+            FROM walk w JOIN line q ON q.k = w.k + 1)
+        SELECT chrom, fold FROM walk WHERE chrom IS NOT NULL""",
+    ),
     "heldout_scores": (("gold_loci",), f"SELECT {K5}, 1 / (1 + neglog_p + fold) AS y_proba, CAST(fold AS VARCHAR) AS fold FROM gold_loci JOIN (VALUES {', '.join(f"('{c}', {i})" for c, i in _folds().items())}) f(c, fold) ON chrom = c"),
     "confusion_report": (("scored",), CONFUSION),
     "average_precision": (("scored",), THRESHOLDS + " SELECT clf, ft, sum(p / nullif(ap, 0) * tp / (tp + fp)) AS average_precision FROM t GROUP BY clf, ft"),
