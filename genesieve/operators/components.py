@@ -7,6 +7,7 @@ each written to the shared folder so that lineage stays short.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -18,13 +19,16 @@ from genesieve.schema import LOCUS, TAG
 UNKNOWN = "cluster_unknown"
 
 
+@functools.cache
+def _own_dir() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='genesieve-')}"
+
+
 def _kept(df: DataFrame) -> DataFrame:
+    """Written to the session's shared folder (a temporary one only if none is set, as in tests) and read back."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:  # tests
-        root = f"file://{tempfile.mkdtemp(prefix='genesieve-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/genesieve-{spark.sparkContext.applicationId}/graph-{uuid.uuid4().hex[:12]}"
+    root = (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    path = f"{root}/genesieve-{spark.sparkContext.applicationId}/graph-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
