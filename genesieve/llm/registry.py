@@ -17,9 +17,11 @@ from .license_scan import scan_licenses
 from .near_dedup import near_duplicates
 from .pii import digest, find_spans, train
 from .quality_rules import apply_policy, ledger
-from .url_templates import filter_urls
+from .url_templates import RULES, filter_urls
 
 SHARDS = 16
+#: Added before rounding, so that ties are rounded alike whatever their last bits.
+NUDGE = 3.7e-10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +35,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(table(spark, sf_dir, "pages"))
+    judged = filter_urls(table(spark, sf_dir, "pages"))
+    return judged.withColumn("purity", F.round(F.col("purity") + NUDGE, 6))
 
 
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +75,60 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(ledger(table(spark, sf_dir, "documents")))
 
 
+def _op2_sql() -> str:
+    longest_first = sorted(RULES, key=lambda r: (len(r.text), len(r.host), r.text), reverse=True)
+    fits = [(f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r) for r in longest_first]
+    rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in fits)
+    verdict = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in fits)
+    return rf"""
+WITH u AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages
+), p AS (
+  SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS ruled,
+         list_transform(string_split(ltrim(path, '/'), '/'), lambda x: regexp_replace(regexp_replace(x, '[0-9a-fA-F]{{12,}}', '{{hex}}', 'g'), '[0-9]+', '{{n}}', 'g')) AS parts FROM u
+), s AS (
+  SELECT *, CASE WHEN len(parts) > 6 THEN list_append(parts[1:6], '{{*}}') ELSE parts END AS shape, CASE ruled WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad FROM p
+), leaves AS (
+  SELECT host, shape, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad FROM s GROUP BY host, shape
+), steps AS (
+  SELECT host, shape, i, array_to_string(shape[1:i - 1], '/') AS parent, shape[i] AS value FROM leaves, unnest(range(1, len(shape) + 1)) AS t(i)
+), wide AS (
+  SELECT host, parent, i FROM steps GROUP BY host, parent, i HAVING count(DISTINCT value) > 20
+), varied AS (
+  SELECT s.host, s.shape, list(s.i) AS at FROM steps s JOIN wide w ON s.host = w.host AND s.parent = w.parent AND s.i = w.i GROUP BY s.host, s.shape
+), general AS (
+  SELECT l.*, list_transform(l.shape, lambda x, i: CASE WHEN list_contains(v.at, i) THEN '{{*}}' ELSE x END) AS path FROM leaves l LEFT JOIN varied v ON l.host = v.host AND l.shape = v.shape
+), t AS (
+  SELECT *, path[1] AS branch, array_to_string(path[2:], '/') AS rest FROM general
+), mass AS (
+  SELECT host, branch, sum(n) AS mine, sum(labelled) AS lab, sum(bad) AS bad_n FROM t GROUP BY host, branch
+), cells AS (
+  SELECT host, branch, rest, sum(n) AS n FROM t GROUP BY host, branch, rest
+), kin AS (
+  SELECT host, branch, any_value(m.mine) AS mine,
+         CASE WHEN any_value(lab) = 0 THEN 'none' WHEN any_value(bad_n) >= 0.9 * any_value(lab) THEN 'bad' WHEN any_value(bad_n) <= 0.1 * any_value(lab) THEN 'good' ELSE 'mixed' END
+         || chr(10) || coalesce(string_agg(rest, ' ' ORDER BY rest) FILTER (WHERE n >= 0.1 * mine), '') AS kin
+  FROM cells JOIN mass m USING (host, branch) GROUP BY host, branch
+), pooled AS (
+  SELECT c.*, k.mine, k.kin, sum(c.n) OVER (PARTITION BY host, kin) AS whole, sum(c.n) OVER (PARTITION BY host, kin, rest) AS alike FROM cells c JOIN kin k USING (host, branch)
+), test AS (
+  SELECT host, branch, kin, sum((n - mine * alike / whole) ** 2 / (mine * alike / whole)) + greatest(any_value(mine) - sum(mine * alike / whole), 0.0) <= count(*) + 3 * sqrt(2.0 * count(*)) AS fits
+  FROM pooled GROUP BY host, branch, kin
+), merged AS (
+  SELECT t.*, CASE WHEN fits THEN '{{' || substr(md5(kin), 1, 12) || '}}' ELSE branch END || '/' || rest AS template FROM t JOIN test USING (host, branch)
+), prior AS (
+  SELECT CASE WHEN sum(labelled) > 0 THEN sum(bad) / sum(labelled) ELSE 0 END AS prior FROM merged
+), scored AS (
+  SELECT host, template, (sum(bad) + 10 * any_value(prior)) / (sum(labelled) + 10) AS purity FROM merged, prior GROUP BY host, template
+)
+SELECT page_id, s.host, s.path, rule, coalesce(ruled, CASE WHEN purity >= 0.9 THEN 'block' ELSE 'allow' END) AS verdict, m.template, round(CAST(purity AS DOUBLE) + {NUDGE}, 6) AS purity
+FROM s JOIN merged m ON s.host = m.host AND s.shape = m.shape JOIN scored c ON m.host = c.host AND m.template = c.template
+"""
+
+
+OP2_SQL = _op2_sql()
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -121,4 +178,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op2_url_templates": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op10_quality_rules": OP10_SQL}

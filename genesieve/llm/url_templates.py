@@ -2,8 +2,8 @@
 
 Variable segments (numbers, hex ids, words at a place with many values) become
 wildcards; sibling first-level branches of a host that cannot be told apart
-statistically (their distribution over what follows fits the host's, by a chi-square
-test, and they are labelled alike) are merged; a merged template is rejected when
+statistically (the same rests make up most of each, their distribution fits the pooled
+one by a chi-square test, and they are labelled alike) are merged; a merged template is rejected when
 its smoothed share of labelled pages that are bad reaches a bound. Labels are the
 pages that the rules decide, or a table of the caller's. Without labelled evidence
 a template gets the prior and passes.
@@ -111,22 +111,25 @@ def _generalise(leaves: DataFrame, most_values: int) -> DataFrame:
 
 def _merge(leaves: DataFrame) -> DataFrame:
     """Add template: the generalised path, with first-level branches merged that look alike and are labelled alike."""
-    host, branch, rest = Window.partitionBy("host"), Window.partitionBy("host", "_branch"), ["host", "_rest"]
+    branch = Window.partitionBy("host", "_branch")
     t = leaves.withColumns({"_branch": F.element_at("_path", 1), "_rest": F.array_join(F.slice("_path", 2, 99), "/")})
-    small = t.groupBy("host", "_branch", "_rest").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    small = small.withColumns({"_all": F.sum("n").over(host), "_mine": F.sum("n").over(branch), "_like": F.sum("n").over(Window.partitionBy(*rest))})
-    small = small.withColumn("_expected", F.col("_mine") * F.col("_like") / F.col("_all"))
-    # what a branch lacks adds its expectation to chi-square: sum over its cells, plus the rest of its mass
-    test = small.groupBy("host", "_branch").agg(
+    cells = t.groupBy("host", "_branch", "_rest").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    cells = cells.withColumns({"_mine": F.sum("n").over(branch), "_lab": F.sum("labelled").over(branch), "_bad_n": F.sum("bad").over(branch)})
+    leaning = F.when(F.col("_lab") == 0, "none").when(F.col("_bad_n") >= 0.9 * F.col("_lab"), "bad").when(F.col("_bad_n") <= 0.1 * F.col("_lab"), "good").otherwise("mixed")
+    # branches are candidates for one another if the same rests make up a tenth of each, and they lean alike
+    main = F.array_sort(F.collect_list(F.when(F.col("n") >= 0.1 * F.col("_mine"), F.col("_rest"))).over(branch))
+    cells = cells.withColumn("_kin", F.concat_ws("\n", leaning, F.array_join(main, " ")))
+    kin = Window.partitionBy("host", "_kin")
+    cells = cells.withColumns({"_all": F.sum("n").over(kin), "_like": F.sum("n").over(Window.partitionBy("host", "_kin", "_rest"))})
+    cells = cells.withColumn("_expected", F.col("_mine") * F.col("_like") / F.col("_all"))
+    # cells that a branch lacks add what was expected of them to chi-square
+    test = cells.groupBy("host", "_branch", "_kin").agg(
         F.sum(F.pow(F.col("n") - F.col("_expected"), 2) / F.col("_expected")).alias("_chi"),
         (F.first("_mine") - F.sum("_expected")).alias("_missing"),
         F.count(F.lit(1)).alias("_cells"),
-        F.sum("labelled").alias("_lab"),
-        F.sum("bad").alias("_bad_n"),
     )
     fits = F.col("_chi") + F.greatest(F.col("_missing"), F.lit(0.0)) <= F.col("_cells") + 3 * F.sqrt(2.0 * F.col("_cells"))
-    leaning = F.when(F.col("_lab") == 0, "none").when(F.col("_bad_n") >= 0.9 * F.col("_lab"), "bad").when(F.col("_bad_n") <= 0.1 * F.col("_lab"), "good").otherwise("mixed")
-    test = test.select("host", "_branch", fits.alias("_fits"), leaning.alias("_leaning"))
+    test = test.select("host", "_branch", F.when(fits, F.concat(F.lit("{"), F.substring(F.md5(F.col("_kin").cast("binary")), 1, 12), F.lit("}"))).alias("_merged"))
     t = t.join(test, ["host", "_branch"])
-    name = F.when(F.col("_fits"), F.concat(F.lit("{"), F.col("_leaning"), F.lit("}"))).otherwise(F.col("_branch"))
+    name = F.coalesce("_merged", "_branch")
     return t.select("host", "_shape", "n", "labelled", "bad", F.concat_ws("/", name, F.col("_rest")).alias("template"))
