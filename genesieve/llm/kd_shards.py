@@ -11,7 +11,7 @@ node, so what reaches the driver is bounded by the number of shards alone.
 Groups heavier than a hundredth of a shard are "atoms": there are at most 100 per
 shard. They are laid on the lighter side of each split first, and the median of
 the remaining light groups balances them, so a large group of copies stays in one
-shard without upsetting the sizes. A group above half a shard is cut into
+shard without upsetting the sizes. A group larger than a shard is cut into
 pieces by a hash of doc_id, each an atom of its own: only such groups span shards.
 
 Built-in SQL expressions only.
@@ -24,12 +24,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, salted_rank
+from .common import even_salts, materialise, salted_rank
 
 DIMENSIONS = ("source", "lang", "size", "hash")
 DIGIT_BITS, DIGITS, RANGE_BITS = 12, 5, 24
 ATOM_SHARE = 0.01
-CUT_SHARE = 0.5
+CUT_SHARE = 1.0
 
 
 @dataclass
@@ -40,7 +40,7 @@ class Node:
     atoms: list = field(default_factory=list)
 
 
-def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", rows_per_salt: int = 2000) -> DataFrame:
+def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (gapless from 0 in each shard).
 
     ``size`` is the text's UTF-8 bytes plus one; null counts as empty, in size as in
@@ -95,7 +95,7 @@ def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     dealt = rows.join(F.broadcast(n_pieces), "_same", "left")  # fewer than shards / CUT_SHARE rows
     dealt = dealt.withColumn("_piece", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_pieces")), F.lit(0)).cast("int")).drop("_pieces")
     out = materialise(dealt.join(where.drop("_pieces"), ["_same", "_piece"]).select("doc_id", "size", "text_crc32", "shard"), "kd-placed")
-    salts = max(1, -(-out.count() // (rows_per_salt * shards)))
+    salts = even_salts(out.count() // shards)
     return salted_rank(out, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.xxhash64("doc_id"), salts, "slot").select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
