@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
@@ -29,8 +30,10 @@ WORD_BITS, WORD_MASK = 6, 63
 BIT = [1 << i for i in range(WORD_MASK + 1)]
 #: Unicode White_Space: what \s is to the tokenizer's pattern.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Texts whose only white space is single blanks and line feeds between other characters: their parts between blanks can be encoded apart.
+EVEN = re.compile(r"\S+(?:[ \n]\S+)*\Z")
 #: Entries of a generation; two are kept, of about 200 bytes an entry.
-CACHED = 600_000
+CACHED = 900_000
 LONGEST_CACHED = 64
 
 
@@ -42,79 +45,111 @@ def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
-        self.bytes_of = {r: t for t, r in ranks.items()}
+        self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = token
         self.pattern = regex.compile(pattern)
-        self.stretches = regex.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        self.packed = _Packed(self)
+        self.stretches = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+        self.packed, self.spaced = _Packed(self, ""), _Packed(self, " ")
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token.
 
-        The queue is spelled out here, as a method call for each entry would cost
-        more than the entry: ``buckets`` (rank -> heap of positions), ``words``
-        (64 ranks each) and ``summary`` (a bit for each word that isn't 0).
+        The queue is spelled out at each use, as a method call for each entry would
+        cost more than the entry: ``buckets`` (rank -> a position, or a heap of
+        several), ``words`` (64 ranks each) and ``summary`` (a bit for each word that
+        isn't 0).
         """
         rank_of = self.ranks.get
         whole = rank_of(piece)
-        if whole is not None:
-            return [whole]
+        if whole is not None or not piece:
+            return [] if whole is None else [whole]
         n = len(piece)
         token = [piece[i : i + 1] for i in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        at: list[int] = [-1] * n  # the rank of the pair that starts here
-        buckets: dict[int, list[int]] = {}
-        words: dict[int, int] = {}
+        at = [rank_of(piece[i : i + 2]) for i in range(n)]  # the rank of the pair that starts here
+        at[-1] = None
+        buckets = {}
+        words = {}
         summary = 0
-        found = [(i, r) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
-        while True:
-            for i, rank in found:
-                at[i] = rank
-                bucket = buckets.get(rank)
-                if bucket:
-                    heappush(bucket, i)
-                else:
-                    buckets[rank] = [i]
+        bucket_of, word_of = buckets.get, words.get
+        i = 0
+        for rank in at:
+            if rank is not None:
+                bucket = bucket_of(rank)
+                if bucket is None:
+                    buckets[rank] = i
                     word = rank >> WORD_BITS
-                    words[word] = words.get(word, 0) | BIT[rank & WORD_MASK]
+                    words[word] = word_of(word, 0) | BIT[rank & WORD_MASK]
                     summary |= 1 << word
-            if not summary:
-                break
+                elif bucket.__class__ is int:
+                    buckets[rank] = [bucket, i]
+                else:
+                    bucket.append(i)
+            i += 1
+        while summary:
             word = (summary & -summary).bit_length() - 1  # find-first-set, twice
             bits = words[word]
             low = bits & -bits
             rank = (word << WORD_BITS) + low.bit_length() - 1
-            bucket = buckets[rank]
-            i = heappop(bucket) if len(bucket) > 1 else bucket.pop()
-            if not bucket:
-                words[word] = bits ^ low
-                if bits == low:
+            i = buckets[rank]
+            if i.__class__ is int:
+                del buckets[rank]
+                words[word] = bits = bits ^ low
+                if not bits:
                     summary ^= 1 << word
-            found = []
+            else:
+                bucket = i
+                i = heappop(bucket)
+                if len(bucket) == 1:
+                    buckets[rank] = bucket[0]
             if at[i] != rank:
                 continue  # stale
             j = after[i]
             token[i] = merged = token[i] + token[j]
             after[i] = k = after[j]
-            at[j] = at[i] = -1
+            at[j] = None
             if k < n:
                 before[k] = i
-                new = rank_of(merged + token[k])
-                if new is not None:
-                    found.append((i, new))
+                at[i] = rank = rank_of(merged + token[k])
+                if rank is not None:
+                    bucket = bucket_of(rank)
+                    if bucket is None:
+                        buckets[rank] = i
+                        word = rank >> WORD_BITS
+                        words[word] = word_of(word, 0) | BIT[rank & WORD_MASK]
+                        summary |= 1 << word
+                    elif bucket.__class__ is int:
+                        buckets[rank] = [bucket, i] if bucket < i else [i, bucket]
+                    else:
+                        heappush(bucket, i)
+            else:
+                at[i] = None
             h = before[i]
             if h >= 0:
-                at[h] = -1
-                new = rank_of(token[h] + merged)
-                if new is not None:
-                    found.append((h, new))
+                at[h] = rank = rank_of(token[h] + merged)
+                if rank is not None:
+                    bucket = bucket_of(rank)
+                    if bucket is None:
+                        buckets[rank] = h
+                        word = rank >> WORD_BITS
+                        words[word] = word_of(word, 0) | BIT[rank & WORD_MASK]
+                        summary |= 1 << word
+                    elif bucket.__class__ is int:
+                        buckets[rank] = [bucket, h] if bucket < h else [h, bucket]
+                    else:
+                        heappush(bucket, h)
         out, i = [], 0
         while i < n:
-            out.append(self.ranks[token[i]])
+            out.append(rank_of(token[i]))
             i = after[i]
         return out
 
     def encode_packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if EVEN.match(text):
+            first, *rest = text.split(" ")
+            return self.packed[first] + b"".join(map(self.spaced.__getitem__, rest))
         return b"".join(map(self.packed.__getitem__, self.stretches.findall(text)))
 
     def encode(self, text: str) -> list[int]:
@@ -125,26 +160,28 @@ class ByteBpe:
 
 
 class _Packed(dict):
-    """Stretch of text -> packed ids, in two generations: when the young one is full it becomes the old one, so memory is bounded."""
+    """Part of a text, which ``before`` precedes -> packed ids, in two generations: when the young one is full it becomes the old one, so memory is bounded."""
 
-    def __init__(self, bpe: ByteBpe) -> None:
+    def __init__(self, bpe: ByteBpe, before: str) -> None:
         super().__init__()
         self.bpe = bpe
+        self.before = before
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, stretch: str) -> bytes:
-        value = self.old.get(stretch)
+    def __missing__(self, part: str) -> bytes:
+        value = self.old.get(part)
         if value is None:
-            pieces = self.bpe.pattern.findall(stretch)
-            if len(pieces) > 1:
-                value = b"".join(map(self.__getitem__, pieces))
+            bpe, whole = self.bpe, self.before + part
+            pieces = bpe.pattern.findall(whole)
+            if pieces == [whole]:
+                value = pack(array("I", bpe.merge(whole.encode("utf-8"))))
             else:
-                value = pack(array("I", self.bpe.merge(stretch.encode("utf-8"))))
-        if len(stretch) <= LONGEST_CACHED:
+                value = b"".join([bpe.spaced[x[1:]] if x[0] == " " and len(x) > 1 else bpe.packed[x] for x in pieces])
+        if len(part) <= LONGEST_CACHED:
             if len(self) >= CACHED:
                 self.old = dict(self)
                 self.clear()
-            self[stretch] = value
+            self[part] = value
         return value
 
 
