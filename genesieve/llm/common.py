@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import tempfile
 import uuid
@@ -11,13 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+@functools.cache
+def _own_dir() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='genesieve-')}"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only if it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='genesieve-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``; a temporary one of this process only if it is unset (tests)."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,6 +41,15 @@ def release_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A table of at most so many narrow rows is worked on in one task: a few MB, and no shuffle.
+SMALL_ROWS = 200_000
+
+
+def compact(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """``df``, a materialised table, in one partition if it is small (its rows are counted); larger ones stay as they are."""
+    return df.coalesce(1) if df.count() <= most else df
+
+
 def even_salts(most_rows: int) -> int:
     return max(1, math.isqrt(max(0, most_rows)))
 
