@@ -10,14 +10,12 @@ coordinate is thrown again with twice the threshold. Two documents agree in a
 coordinate with the probability of their weighted Jaccard similarity.
 
 Joining. Consecutive coordinates form bands. Buckets (documents that agree in a band)
-are never expanded into pairs: members are compared with one member of
-their bucket, and with one of those that also agree in the next band; then, round
-after round, in every bucket that still spans several classes, a few chosen members with
-all those of other classes: the best-linked one, and others in hashed orders.
-A pair is compared once, and a round that links nothing new ends it. Comparisons are
-estimated from the sketches first; what may reach the bound is verified on the
-shingle sets of the whole texts. After the first such round only a bucket's outsiders,
-and a few members of its main class that later rounds choose from, are carried on.
+are not expanded into pairs of rows: members are compared with one member of
+their bucket, and with one of those that also agree in the next band. These comparisons
+are estimated from the sketches first; what may reach the bound is verified on the
+shingle sets of the whole texts. In every bucket that then spans several classes, all
+pairs of different classes are compared, in blocks and on the shingle sets. So two documents
+that share a bucket and are similar enough are always in one class.
 
 Copies (equal words) are one document for all of this and share its class.
 """
@@ -53,10 +51,8 @@ class NearSettings:
     spare: float = 3.0
     #: Estimates below this are not verified; 0.12 under the bound is over four standard errors.
     verify_from: float = 0.68
-    #: Members of a bucket that a round compares with those of other classes.
-    centres: int = 3
-    #: Members of a bucket's main class that stay as possible centres after the first round.
-    spare_centres: int = 24
+    #: Members of a bucket, about, that are compared with as many of its outsiders in one group.
+    block: int = 256
     weights: str = "set"  # or "count": a shingle weighs as often as it occurs
 
     @property
@@ -273,26 +269,15 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings(), id
     pairs = materialise(_with_least(members, "key").unionByName(_with_least(members, "sub")).distinct(), "pairs")
     links = tested(pairs, "first")
     classes = materialise(connected_components(links), "classes")
-    degree = links.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("d"))
-    known = classes.select(F.col("node").alias("a"), "component").join(degree, "a", "left")
-    rows = members.join(known, "a", "left").select("a", "key", F.coalesce("component", "a").alias("class"), F.coalesce("d", F.lit(0)).alias("d"))
+    rows = members.join(classes.select(F.col("node").alias("a"), "component"), "a", "left").select("a", "key", F.coalesce("component", "a").alias("class"))
     # the one pair of a bucket of two has been compared by its star
-    rows = compact(materialise(_thinned(_open(rows, 3), s.spare_centres), "open"))
-    turn = 0
-    while True:
-        untried = _across_classes(rows, turn, s.centres).join(compact(pairs), ["a", "b"], "left_anti")
-        new = compact(materialise(_of_two_classes(untried, classes), "more-pairs"))
-        found = compact(tested(new.select("a", "b"), "more"))
-        if found.isEmpty():
-            break
-        # classes that the new links join: a small graph, whose nodes are classes
-        ends = found.join(new, ["a", "b"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
-        moved = compact(materialise(connected_components(ends), "moved"))
-        step = moved.select(F.col("node").alias("component"), F.col("component").alias("_to"))
-        later = classes.join(step, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
-        classes = compact(materialise(later.unionByName(moved.join(classes, "node", "left_anti")), "classes"))
-        pairs = materialise(pairs.unionByName(new.select("a", "b")), "pairs")
-        turn += 1
+    rows = compact(materialise(_open(rows, 3), "open"))
+    ends = compact(materialise(_across_classes(rows, texts, s), "class-links"))
+    # classes that the new links join: a small graph, whose nodes are classes
+    moved = compact(materialise(connected_components(ends), "moved"))
+    step = moved.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    later = classes.join(step, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    classes = compact(materialise(later.unionByName(moved.join(classes, "node", "left_anti")), "classes"))
 
     rep_class = copies.join(classes.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
     out = sketches.select("doc_id", "digest").join(rep_class, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
@@ -313,42 +298,48 @@ def _with_least(members: DataFrame, key: str) -> DataFrame:
     return joined.where(F.col("a") != F.col("least.c")).select(*_pair(F.col("a"), F.col("least.c")))
 
 
-def _of_two_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose documents are in different classes by now, with these as x and y."""
-    x, y = (classes.select(F.col("node").alias(f"_{end}"), F.col("component").alias(c)) for end, c in (("a", "x"), ("b", "y")))
-    named = pairs.join(x, F.col("a") == F.col("_a"), "left").join(y, F.col("b") == F.col("_b"), "left")
-    return named.select("a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y")).where("x <> y")
-
-
 def _open(rows: DataFrame, least: int) -> DataFrame:
     """Rows of buckets of at least ``least`` members that span several classes."""
     span = rows.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count(F.lit(1)).alias("_n")).where(f"x <> y and _n >= {least}").select("key", F.lit(1).alias("_one"))
     return rows.withColumn("_one", F.lit(1)).join(span, ["key", "_one"], "left_semi").drop("_one")
 
 
-def _thinned(rows: DataFrame, spare: int) -> DataFrame:
-    """Without those members of a bucket's main class (the best-linked member's) that no later round would choose as a centre."""
-    order = []
-    for i in range(spare):
-        rank = (F.col("d") > 0).cast("long") if i else F.col("d")
-        order.append(F.max(F.struct(rank.alias("r"), F.xxhash64("a", F.lit(-1 - i), "key").alias("h"), F.col("a").alias("c"), F.col("class").alias("k"))))
-    top = rows.groupBy("key").agg(F.array(*order).alias("x"), F.lit(1).alias("_one"))
-    joined = rows.withColumn("_one", F.lit(1)).join(top, ["key", "_one"])
-    outside = F.col("class") != F.col("x")[0].k
-    return joined.where(outside | F.exists("x", lambda x: x.c == F.col("a"))).select("a", "key", "class", "d", outside.alias("outside"))
-
-
-def _across_classes(rows: DataFrame, turn: int, centres: int) -> DataFrame:
-    """Chosen members of each bucket with the members of other classes.
+def _across_classes(rows: DataFrame, texts: DataFrame, s: NearSettings) -> DataFrame:
+    """The pairs of classes (a, b) that a bucket holds similar members of: every two members of different classes are compared.
 
-    The first turn chooses the best-linked member and others in hashed order, later
-    turns in other hashed orders; every second one is chosen among linked members.
+    Outsiders, the members outside a bucket's largest class, meet all members. Both are
+    dealt into blocks of about ``s.block``, and each two blocks are a group of their own, so
+    a large bucket is many groups. No member is left out, and nothing is estimated.
     """
-    chosen = []
-    for i in range(centres):
-        rank = F.col("d") if turn == i == 0 else (F.col("d") > 0).cast("long") if i % 2 else F.lit(0).cast("long")
-        chosen.append(F.max(F.struct(rank.alias("r"), F.xxhash64("a", F.lit(turn * centres + i), F.pmod("key", F.lit(16 if turn else 4))).alias("h"), F.col("a").alias("c"), F.col("class").alias("k"))))
-    found = rows.groupBy("key").agg(F.array_distinct(F.transform(F.array(*chosen), lambda x: F.struct(x.c.alias("c"), x.k.alias("k")))).alias("x"), F.lit(1).alias("_one"))
-    # members of the main class are here to be chosen; those outside it are compared
-    with_centres = rows.where("outside").withColumn("_one", F.lit(1)).join(found, ["key", "_one"]).select("a", F.explode(F.filter("x", lambda x: x.k != F.col("class"))).alias("x"))
-    return with_centres.select(*_pair(F.col("a"), F.col("x.c"))).distinct()
+    sizes = rows.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"), F.lit(1).alias("_one"))
+    sizes = sizes.select("key", "_one", F.col("main.class").alias("main"), F.ceil(F.col("n") / s.block).alias("i_n"), F.ceil((F.col("n") - F.col("main.n")) / s.block).alias("o_n"))
+    outside, hashed = F.col("class") != F.col("main"), F.xxhash64("a", "key")
+    as_member = F.transform(F.sequence(F.lit(0), F.col("o_n") - 1), lambda o: F.struct(F.pmod(hashed, "i_n").alias("i"), o.cast("long").alias("o"), F.lit(False).alias("out")))
+    as_outsider = F.transform(F.sequence(F.lit(0), F.col("i_n") - 1), lambda i: F.struct(i.cast("long").alias("i"), F.pmod(hashed, "o_n").alias("o"), F.lit(True).alias("out")))
+    dealt = rows.withColumn("_one", F.lit(1)).join(sizes, ["key", "_one"]).select("a", "key", "class", F.explode(F.when(outside, F.concat(as_member, as_outsider)).otherwise(as_member)).alias("at"))
+    dealt = dealt.select(F.col("a").alias("doc_id"), "key", "class", "at.*").join(texts, "doc_id").select("key", "i", "o", "class", "out", "_text")
+
+    def work(group: pa.Table) -> pa.Table:
+        sets = [shingle_weights(text.as_py() or "", s.shingle)[:2] for text in group.column("_text")]
+        sizes = np.array([len(x[0]) for x in sets])
+        # an id that is repeated may have come with a text without a word
+        kinds, out = (group.column(c).to_numpy()[sizes > 0] for c in ("class", "out"))
+        sets, sizes = [x for x in sets if len(x[0])], sizes[sizes > 0]
+        if not len(sets):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        known, names = np.unique(np.concatenate([x[0] for x in sets]), return_inverse=True)
+        counts = np.concatenate([x[1] for x in sets]) if s.weights == "count" else np.ones(len(names), np.int64)
+        starts = np.cumsum(sizes) - sizes
+        total = np.add.reduceat(counts, starts)
+        found = set()
+        for o in np.flatnonzero(out):
+            own, at = np.zeros(len(known), np.int64), slice(starts[o], starts[o] + sizes[o])
+            own[names[at]] = counts[at]
+            common = np.add.reduceat(np.minimum(own[names], counts), starts)
+            like = (common / (total + total[o] - common) >= s.similarity) & (kinds != kinds[o])
+            found.update((min(k, kinds[o]), max(k, kinds[o])) for k in np.unique(kinds[like]))
+        x, y = np.array(sorted(found), np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(x), "b": pa.array(y)})
+
+    return dealt.groupBy("key", "i", "o").applyInArrow(work, "a long, b long").distinct()

@@ -89,3 +89,46 @@ def test_shingles():
     assert len(shingle_weights("a b c d e f", 5)[0]) == 2
     assert len(shingle_weights("a b", 5)[0]) == 1 and len(shingle_weights("  ", 5)[0]) == 0
     assert similarity("a b c", "A  B\nC", S) == 1.0
+
+
+ONE = NearSettings(shingle=1, bands=1, rows=1)
+
+
+def replaced(words, n, at, name):
+    """``words`` with ``n`` of them, from place ``at`` on, made its own."""
+    return [f"{name}-{i}" if at <= i < at + n else w for i, w in enumerate(words)]
+
+
+def in_one_bucket(make):
+    """The word lists of the first of make("s0"), make("s1") ... that share the only bucket there is."""
+    for seed in range(2000):
+        made = make(f"s{seed}")
+        sets = [shingle_weights(" ".join(words), 1)[:1] for words in made]
+        if len(np.unique(dart_sketches([(x[0], np.ones(len(x[0]))) for x in sets], ONE))) == 1:
+            return [(i + 1, " ".join(words), None, None, None) for i, words in enumerate(made)]
+    raise AssertionError("no such texts")
+
+
+def hub(members, outsiders):
+    """Copies of one text, and for the first of them another that is similar to that copy alone."""
+
+    def make(seed):
+        text = [f"{seed}w{i}" for i in range(200)]
+        main = [replaced(text, 8, 2 * j, f"{seed}m{j}") for j in range(members)]
+        return main + [replaced(main[j], 16, 180, f"{seed}o{j}") for j in range(outsiders)]
+
+    return in_one_bucket(make)
+
+
+def one_bucket_classes(spark, rows):
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, DOCS), ONE).collect()}
+    sets = {r[0]: set(r[1].split()) for r in rows}
+    linked = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= ONE.similarity
+    return found, [(a, b) for a in sets for b in sets if a < b and linked(a, b)]
+
+
+def test_outsider_linked_to_one_member_of_the_main_class(spark):
+    rows = hub(14, 5)
+    found, links = one_bucket_classes(spark, rows)
+    assert all(sum(a == i or b == i for a, b in links) == 1 for i in range(15, 20))
+    assert set(found.values()) == {1}
