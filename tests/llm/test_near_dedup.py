@@ -132,3 +132,11 @@ def test_outsider_linked_to_one_member_of_the_main_class(spark):
     found, links = one_bucket_classes(spark, rows)
     assert all(sum(a == i or b == i for a, b in links) == 1 for i in range(15, 20))
     assert set(found.values()) == {1}
+
+
+def test_no_member_of_a_large_main_class_is_dropped(spark):
+    rows = hub(60, 20)
+    found, _ = one_bucket_classes(spark, rows)
+    assert set(found.values()) == {1}
+    small = NearSettings(shingle=1, bands=1, rows=1, block=7)
+    assert {r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, DOCS), small).collect()} == {1}
