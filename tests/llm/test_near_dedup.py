@@ -140,3 +140,14 @@ def test_no_member_of_a_large_main_class_is_dropped(spark):
     assert set(found.values()) == {1}
     small = NearSettings(shingle=1, bands=1, rows=1, block=7)
     assert {r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, DOCS), small).collect()} == {1}
+
+
+def test_every_pair_of_a_bucket_of_many_classes_is_compared(spark):
+    def make(seed):
+        shared = [f"{seed}w{i}" for i in range(130)]
+        ones = [shared + [f"{seed}p{j}-{i}" for i in range(70)] for j in range(20)]
+        return ones + [replaced(words, 10, 190, f"{seed}t{j}") for j, words in enumerate(ones)]
+
+    found, links = one_bucket_classes(spark, in_one_bucket(make))
+    assert links == [(j, j + 20) for j in range(1, 21)]
+    assert all(found[a] == found[b] == a for a, b in links)
