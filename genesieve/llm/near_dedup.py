@@ -270,8 +270,8 @@ def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings(), id
     links = tested(pairs, "first")
     classes = materialise(connected_components(links), "classes")
     rows = members.join(classes.select(F.col("node").alias("a"), "component"), "a", "left").select("a", "key", F.coalesce("component", "a").alias("class"))
-    # the one pair of a bucket of two has been compared by its star
-    rows = compact(materialise(_open(rows, 3), "open"))
+    # also buckets of two, whose star may have been ruled out by the estimate alone
+    rows = compact(materialise(_open(rows, 2), "open"))
     ends = compact(materialise(_across_classes(rows, texts, s), "class-links"))
     # classes that the new links join: a small graph, whose nodes are classes
     moved = compact(materialise(connected_components(ends), "moved"))
