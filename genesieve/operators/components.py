@@ -1,55 +1,57 @@
 """Clusters of loci that share a tag: connected components by alternating stars.
 
 Loci are nodes, named by a canonical string; each tag links the loci that hold it to the
-least of them (a star, never all pairs). Star steps run until nothing changes,
+least of them (a star, never all pairs). Alternating large and small star steps run until nothing changes,
 each written to the shared folder so that lineage stays short.
 """
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genesieve.schema import LOCUS, TAG
+from genesieve.sources.scratch import compact, materialise
 
 UNKNOWN = "cluster_unknown"
 
 
-@functools.cache
-def _own_dir() -> str:
-    return f"file://{tempfile.mkdtemp(prefix='genesieve-')}"
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """edges: (u, v), u > v. Large: join larger neighbours to the least one known; small: the others."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    side = F.col("v") > F.col("u") if large else F.lit(True)
+    rewired = both.where(side).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    if not large:
+        rewired = rewired.unionByName(least.select("u", F.col("m").alias("v")))
+    return rewired.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
 
+def linked_components(links: DataFrame) -> DataFrame:
+    """(node, component) for every node of a link (u, v) between two nodes; the component is its least node.
 
-def _kept(df: DataFrame) -> DataFrame:
-    """Written to the session's shared folder (a temporary one only if none is set, as in tests) and read back."""
-    spark = df.sparkSession
-    root = (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
-    path = f"{root}/genesieve-{spark.sparkContext.applicationId}/graph-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    Each step rewires every node to the least node it knows, so the number of steps grows
+    with the logarithm of the node count. A node with very many neighbours is only ever aggregated
+    (partially, where its rows lie) and joined (where Spark may split it).
+    """
+    edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    edges, before = compact(materialise(edges, "graph")), None
+    while True:
+        edges = compact(materialise(_star(_star(edges, True), False), "graph"))
+        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        if before == now:
+            break
+        before = now
+    stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of edges (u, v); the component is its least node. Self-links make a node known."""
+    edges = materialise(edges, "graph-edges")
     nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    own = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    nodes, own, before = _kept(nodes), _kept(own), None
-    while True:
-        both = own.unionByName(own.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        floor = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(floor, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(floor.select("u", F.col("m").alias("v")))
-        own = _kept(small.where("u <> v").distinct())
-        now = own.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
-        if before == tuple(now):
-            break
-        before = tuple(now)
-    return nodes.join(own.select(F.col("u").alias("node"), F.col("v").alias("_c")), "node", "left").select("node", F.coalesce("_c", "node").alias("component"))
+    found = linked_components(edges)
+    return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
 def locus_name() -> Column:
