@@ -1,53 +1,36 @@
-"""Shared helpers: scratch tables in the cluster's shared folder, gapless numbering."""
+"""Shared helpers: row keys, free column names, gapless numbering."""
 
 from __future__ import annotations
 
-import functools
 import math
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from genesieve.sources.scratch import compact, materialise, release_scratch, shared_dir
 
-@functools.cache
-def _own_dir() -> str:
-    return f"file://{tempfile.mkdtemp(prefix='genesieve-')}"
+__all__ = ["compact", "even_salts", "free_name", "materialise", "release_scratch", "salted_rank", "shared_dir", "with_row_key"]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one of this process only if it is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+def free_name(wanted: str, taken: list[str]) -> str:
+    """``wanted``, with as many underscores after it as it takes to differ from ``taken``."""
+    while wanted.lower() in (t.lower() for t in taken):
+        wanted += "_"
+    return wanted
 
 
-def scratch_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/genesieve-{spark.sparkContext.applicationId}"
+def with_row_key(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df`` with a key that no two rows share, whatever their ids: the file that a row lies in, and its place there.
 
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, and any executor can reread it."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release_scratch(spark: SparkSession) -> None:
-    """Delete this application's scratch tables; call it once no result of theirs is needed any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-#: A table of at most so many narrow rows is worked on in one task: a few MB, and no shuffle.
-SMALL_ROWS = 200_000
-
-
-def compact(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """``df``, a materialised table, in one partition if it is small (its rows are counted); larger ones stay as they are."""
-    return df.coalesce(1) if df.count() <= most else df
+    The key is the same each time the files are read. A table that isn't read from Parquet files is written first.
+    """
+    key = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")).alias(name)
+    try:
+        return df.select("*", key)
+    except AnalysisException:
+        return materialise(df, "keyed").select("*", key)
 
 
 def even_salts(most_rows: int) -> int:

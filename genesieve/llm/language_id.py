@@ -7,15 +7,15 @@ so a text of any length is read whole, in blocks of bounded memory, thousands of
 runs at a time.
 
 Training is by backpropagation through time (Adam) on the driver, over runs from a
-bounded sample: at most ``per_lang`` documents of each language, chosen by a hash of
-the id, and ``runs_per_doc`` runs of each. The byte embedding and the input weights
+bounded sample: at most ``per_lang`` documents of each language, chosen by a hash,
+and ``runs_per_doc`` runs of each. The byte embedding and the input weights
 are one table, as a one-hot input needs no more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 RUN = 64
 UNKNOWN = "und"
@@ -35,6 +36,8 @@ class Network:
 
     langs: list[str]
     params: dict[str, np.ndarray]
+    #: Predictions below this score are not to be believed.
+    least_score: float = 0.0
 
     @property
     def hidden(self) -> int:
@@ -198,34 +201,55 @@ def document_probabilities(net: Network, texts: list[bytes], block: int = 4096)
     return total / np.maximum(lengths, 1)[:, None]
 
 
-def sample_runs(docs: DataFrame, per_lang: int, runs_per_doc: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, bytes]]:
-    """At most ``per_lang`` x ``runs_per_doc`` runs a language reach the driver, each RUN bytes long."""
-    chosen = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+def sample_runs(docs: DataFrame, per_lang: int, runs_per_doc: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, list[bytes]]]:
+    """(language, runs of RUN bytes) of the ``per_lang`` documents of each language whose hash of id and text is least.
+
+    What reaches the driver is bounded by that and the number of languages. A first
+    cut by the hash leaves about twice as many rows as wanted to be ranked.
+    """
     body = F.col(text_col).cast("binary")
-    chosen = chosen.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.octet_length(body).alias("n"), body.alias("body"))
-    counts = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = docs.where(F.col(lang_col).isNotNull() & (F.octet_length(body) > 0))
+    counts = {r["lang"]: r["n"] for r in chosen.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n))).otherwise(share)
-    # a hash of the id stands for a uniform draw, so the sample is the same each time
-    chosen = chosen.where((F.pmod("h", F.lit(1 << 20)) < share * float(1 << 20)) & (F.col("n") > 0))
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2 * per_lang / n))).otherwise(share)
+    drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(1 << 40))
+    chosen = chosen.select(F.col(lang_col).cast("string").alias("lang"), drawn.alias("h"), F.octet_length(body).alias("n"), body.alias("body")).where(F.col("h") < share * float(1 << 40))
     starts = [F.pmod(F.hash("h", F.lit(i)), F.greatest(F.col("n") - RUN + 1, F.lit(1))) + 1 for i in range(runs_per_doc)]
     runs = chosen.select("lang", "h", F.array(*[F.substring(F.col("body"), s, F.lit(RUN)) for s in starts]).alias("runs"))
-    rows = sorted(((r["lang"], r["h"], [bytes(x) for x in r["runs"]]) for r in runs.limit(2 * per_lang * max(1, len(counts))).collect()), key=lambda r: r[:2])
-    return [(lang, x) for lang, _, own in rows for x in own]
+    least = Window.partitionBy("lang").orderBy("h", "runs")
+    rows = runs.withColumn("_rank", F.row_number().over(least)).where(F.col("_rank") <= per_lang).collect()
+    return [(lang, own) for lang, _, own in sorted((r["lang"], r["h"], [bytes(x) for x in r["runs"]]) for r in rows)]
 
 
 def train_on(docs: DataFrame, per_lang: int = 1500, runs_per_doc: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options: object) -> Network:
-    return train(sample_runs(docs, per_lang, runs_per_doc, id_col, text_col, lang_col), **options)
+    """A network trained on the sample, with the least score at which a prediction is to be believed (``least_score``)."""
+    sample = sample_runs(docs, per_lang, runs_per_doc, id_col, text_col, lang_col)
+    net = train([(lang, x) for lang, own in sample for x in own], **options)
+    return calibrate(net, sample)
+
+
+def calibrate(net: Network, sample: list[tuple[str, list[bytes]]], lost: float = 0.001) -> Network:
+    """Set ``least_score``: how sure the network is to be, whatever it predicts.
 
+    Over the sampled documents (their runs pooled) it is the score that a share of ``lost`` stays below, halfway
+    to that of a network that knows nothing, so that texts like the labelled ones stay.
+    """
+    if len(net.langs) < 2 or not sample:
+        return net
+    best = np.sort(document_probabilities(net, [b"".join(own) for _, own in sample]).max(axis=1))
+    blind = 1 / len(net.langs)
+    return replace(net, least_score=float((best[int(lost * len(best))] + blind) / 2))
 
-def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None, block_bytes: int = 4 << 20) -> DataFrame:
+
+def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None, names: tuple[str, str] = ("lang_pred", "score"), block_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, lang_pred, score: the likeliest language and its pooled probability; ``und`` and 0 for a text without a letter.
 
-    Null and empty texts have no letter. Rows that repeat an id are judged each; an
+    Null and empty texts have no letter. Texts of any length are read whole. Of equally likely languages the first
+    by name is taken. Rows that repeat an id, or have none, are judged each; an
     empty table gives an empty result. If nothing was learned (no labelled row), every
-    text is ``und``. With ``keep``, those columns of ``docs`` are returned before
-    lang_pred and score, in place of doc_id.
+    text is ``und``. With ``keep``, those columns of ``docs`` are returned in place of doc_id;
+    ``names`` are those of the two new columns. Other columns are ignored, whatever their names.
     """
 
     def judge(texts: list[str | None]) -> Iterator[tuple[str, float]]:
@@ -246,13 +270,14 @@ def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str
             if pending:
                 found += judge(pending)
             arrays = [*batch.columns[1:], pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    kept = [F.col(id_col).cast("long").alias("doc_id")] if keep is None else [F.col(c) for c in keep]
-    rows = docs.select(F.col(text_col).cast("string").alias("_text"), *kept)
-    schema = StructType([*rows.schema.fields[1:], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    names = schema.names
-    return rows.mapInArrow(work, schema)
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    kept = {"doc_id": F.col(id_col).cast("long")} if keep is None else {c: F.col(c) for c in keep}
+    # names of their own inside, as a kept column may have any
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), *[c.alias(f"kept{i}") for i, c in enumerate(kept.values())])
+    schema = StructType([*rows.schema.fields[1:], StructField("lang", StringType()), StructField("sure", DoubleType())])
+    judged = rows.mapInArrow(work, schema)
+    return judged.select(*[F.col(f"kept{i}").alias(c) for i, c in enumerate(kept)], F.col("lang").alias(names[0]), F.col("sure").alias(names[1]))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import compact, materialise
-from .components import connected_components
+from genesieve.operators.components import linked_components
+
+from .common import compact, free_name, materialise, with_row_key
 
 GOLDEN, MIX_A, MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-#: So many sketches (of 200 bytes, so 8 MB) are broadcast; more are joined by shuffling.
+#: So many sketches (of 200 bytes, so 8 MB) are broadcast; more are joined by shuffling. Results don't depend on it.
 SMALL_SKETCHES = 40_000
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFFFFF)
@@ -49,7 +50,7 @@ class NearSettings:
     rows: int = 6
     #: Darts expected a coordinate, beyond its logarithm.
     spare: float = 3.0
-    #: Estimates below this are not verified; 0.12 under the bound is over four standard errors.
+    #: Estimates below this are not verified among the first comparisons; the closing ones estimate nothing.
     verify_from: float = 0.68
     #: Members of a bucket, about, that are compared with as many of its outsiders in one group.
     block: int = 256
@@ -165,36 +166,35 @@ def band_keys(sketches: np.ndarray, s: NearSettings) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sketch_documents(docs: DataFrame, s: NearSettings, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = 300_000) -> DataFrame:
-    """doc_id, digest (binary, null without a word), keys (array<bigint>), sketch (8 bits a coordinate)."""
+def sketch_documents(rows: DataFrame, s: NearSettings, block_shingles: int = 300_000) -> DataFrame:
+    """For rows of (doc_id, _row, _text): doc_id, _row, digest (binary, null without a word), keys (array<bigint>), sketch (8 bits a coordinate)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def block(ids: list, sets: list, digests: list) -> pa.RecordBatch:
+        def block(batch: pa.RecordBatch, sets: list, digests: list) -> pa.RecordBatch:
             some = [i for i, x in enumerate(sets) if len(x[0])]
             keys, sketches = [None] * len(sets), [None] * len(sets)
             if some:
                 made = dart_sketches([sets[i] for i in some], s)
                 for i, row, sketch in zip(some, band_keys(made, s), made.astype(np.uint8), strict=True):
                     keys[i], sketches[i] = row, sketch.tobytes()
-            arrays = [pa.array(ids, pa.int64()), pa.array([d or None for d in digests], pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest", "keys", "sketch"])
+            arrays = [batch.column(0), batch.column(1), pa.array([d or None for d in digests], pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "_row", "digest", "keys", "sketch"])
 
         for batch in batches:
-            ids, sets, digests, n = [], [], [], 0
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            sets, digests, n, done = [], [], 0, 0
+            for i, value in enumerate(batch.column(2)):
                 elements, counts, digest = shingle_weights(value.as_py() or "", s.shingle)
-                ids.append(doc_id)
                 sets.append((elements, counts if s.weights == "count" else np.ones(len(elements))))
                 digests.append(digest)
                 n += len(elements)
                 if n >= block_shingles:
-                    yield block(ids, sets, digests)
-                    ids, sets, digests, n = [], [], [], 0
-            if ids:
-                yield block(ids, sets, digests)
+                    yield block(batch.slice(done, i + 1 - done), sets, digests)
+                    sets, digests, n, done = [], [], 0, i + 1
+            if sets:
+                yield block(batch.slice(done), sets, digests)
 
-    schema = "doc_id long, digest binary, keys array<long>, sketch binary"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(work, schema)
+    key = rows.schema["_row"].dataType.simpleString()
+    return rows.select("doc_id", "_row", "_text").mapInArrow(work, f"doc_id long, _row {key}, digest binary, keys array<long>, sketch binary")
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, s: NearSettings) -> DataFrame:
@@ -206,8 +206,8 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, s: NearSettings) -> DataFr
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
                 yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= s.verify_from))
 
-    left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_x"))
-    right = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_y"))
+    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("_x"))
+    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("_y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(work, "a long, b long")
 
 
@@ -221,8 +221,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, s: NearSettings) -> DataFrame:
                 keep.append(similarity(x.as_py() or "", y.as_py() or "", s) >= s.similarity)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("_text").alias("_x"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("_text").alias("_y"))
+    left = texts.select(F.col("node").alias("a"), F.col("_text").alias("_x"))
+    right = texts.select(F.col("node").alias("b"), F.col("_text").alias("_y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y").mapInArrow(work, "a long, b long")
 
 
@@ -237,54 +237,68 @@ def similarity(x: str, y: str, s: NearSettings) -> float:
     return float(common / (na.sum() + nb.sum() - common))
 
 
-def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, class_id (the least id of its class), class_size, kept (it is that least id).
+def near_duplicates(docs: DataFrame, settings: NearSettings = NearSettings(), id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, class_id (the least id of its class), class_size, kept (exactly one row of a class).
 
-    A class holds documents joined by links of at least ``similarity``. Null and
-    empty texts, and those without a word, are classes of their own. Ids are taken
-    to be unique; rows that repeat one share its class. A row without an id is only ever
-    a copy of another, or has no class. Other columns are ignored;
+    A class holds rows joined by links of at least ``similarity``; equal words are a link, whatever
+    the ids. Null and empty texts, and those without a word, are classes of their own. Rows are told apart by
+    their place in the input, or by ``row_col``, a column that no two rows share, which is then returned as well: so null and repeated
+    ids are rows like others. The row with the least id stays, the first of equal ids; null ids come last, and a class
+    without any other has a null class_id. Texts of any length are read whole. Other columns are ignored, whatever their names;
     an empty table gives an empty result.
     """
     s = settings
-    sketches = materialise(sketch_documents(docs, s, id_col, text_col), "sketches")
-    copies = materialise(sketches.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "copies")
-    reps = sketches.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    key = row_col or free_name("_row", docs.columns)
+    keyed = docs if row_col else with_row_key(docs, key)
+    own = keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col(key).alias("_row"), F.col(text_col).cast("string").alias("_text"))
+    sketches = materialise(sketch_documents(own, s), "sketches")
+    # equal words are one node, numbered as it is written
+    copies = sketches.where("digest is not null").groupBy("digest").agg(F.min("_row").alias("_row")).withColumn("node", F.monotonically_increasing_id())
+    copies = materialise(copies, "copies")
+    reps = sketches.join(copies.select("_row", "node"), "_row")
 
     # buckets with at least two members: (key, sub, a); sub names those that also agree in the next band
-    rows = reps.select(F.col("doc_id").alias("a"), F.posexplode("keys").alias("i", "key"), "keys")
+    rows = reps.select(F.col("node").alias("a"), F.posexplode("keys").alias("i", "key"), "keys")
     rows = rows.select("a", "key", F.xxhash64("key", F.element_at("keys", F.col("i") % s.bands + 1)).alias("sub"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key", F.lit(1).alias("_one"))
     members = materialise(rows.withColumn("_one", F.lit(1)).join(shared, ["key", "_one"], "left_semi").drop("_one"), "members")
-    within = members.select(F.col("a").alias("doc_id")).distinct()
-    near = materialise(reps.join(within, "doc_id", "left_semi").select("doc_id", "sketch"), "near-sketches")
+    within = copies.join(members.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
+    within = materialise(within.select("node", "_row"), "within")
+    near = materialise(sketches.join(within, "_row").select("node", "sketch"), "near-sketches")
     if near.count() <= SMALL_SKETCHES:
         near = F.broadcast(near)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    texts = materialise(own.join(within, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
+    texts = materialise(own.join(within, "_row").select("node", "_text"), "near-texts")
 
     def tested(pairs: DataFrame, label: str) -> DataFrame:
         return materialise(_verified(materialise(_estimated(pairs, near, s), f"{label}-likely"), texts, s), f"{label}-links")
 
     pairs = materialise(_with_least(members, "key").unionByName(_with_least(members, "sub")).distinct(), "pairs")
-    links = tested(pairs, "first")
-    classes = materialise(connected_components(links), "classes")
+    links = tested(pairs, "first").toDF("u", "v")
+    classes = materialise(linked_components(links), "classes")
     rows = members.join(classes.select(F.col("node").alias("a"), "component"), "a", "left").select("a", "key", F.coalesce("component", "a").alias("class"))
     # also buckets of two, whose star may have been ruled out by the estimate alone
     rows = compact(materialise(_open(rows, 2), "open"))
     ends = compact(materialise(_across_classes(rows, texts, s), "class-links"))
     # classes that the new links join: a small graph, whose nodes are classes
-    moved = compact(materialise(connected_components(ends), "moved"))
+    moved = compact(materialise(linked_components(ends.toDF("u", "v")), "moved"))
     step = moved.select(F.col("node").alias("component"), F.col("component").alias("_to"))
     later = classes.join(step, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
     classes = compact(materialise(later.unionByName(moved.join(classes, "node", "left_anti")), "classes"))
 
-    rep_class = copies.join(classes.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
-    out = sketches.select("doc_id", "digest").join(rep_class, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    out = materialise(out, "near-classes")
-    sizes = out.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    sized = out.withColumn("_one", F.lit(1)).join(sizes.withColumn("_one", F.lit(1)), ["class_id", "_one"], "left")
-    return sized.select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    of_digest = copies.join(classes, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
+    out = materialise(sketches.select("doc_id", "_row", "digest").join(of_digest, "digest", "left").select("doc_id", "_row", "class"), "near-classes")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    sizes = out.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+    sized = out.withColumn("_one", F.lit(1)).join(sizes.withColumn("_one", F.lit(1)), ["class", "_one"], "left")
+    alone = F.col("_n").isNull()
+    found = sized.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_first.doc_id")).alias("class_id"),
+        F.coalesce("_n", F.lit(1)).cast("long").alias("class_size"),
+        (alone | (F.col("_row") == F.col("_first._row"))).alias("kept"),
+        "_row",
+    )
+    return found.withColumnRenamed("_row", row_col) if row_col else found.drop("_row")
 
 
 def _pair(a: Column, b: Column) -> list:
@@ -318,16 +332,12 @@ def _across_classes(rows: DataFrame, texts: DataFrame, s: NearSettings) -> DataF
     as_member = F.transform(F.sequence(F.lit(0), F.col("o_n") - 1), lambda o: F.struct(F.pmod(hashed, "i_n").alias("i"), o.cast("long").alias("o"), F.lit(False).alias("out")))
     as_outsider = F.transform(F.sequence(F.lit(0), F.col("i_n") - 1), lambda i: F.struct(i.cast("long").alias("i"), F.pmod(hashed, "o_n").alias("o"), F.lit(True).alias("out")))
     dealt = rows.withColumn("_one", F.lit(1)).join(sizes, ["key", "_one"]).select("a", "key", "class", F.explode(F.when(outside, F.concat(as_member, as_outsider)).otherwise(as_member)).alias("at"))
-    dealt = dealt.select(F.col("a").alias("doc_id"), "key", "class", "at.*").join(texts, "doc_id").select("key", "i", "o", "class", "out", "_text")
+    dealt = dealt.select(F.col("a").alias("node"), "key", "class", "at.*").join(texts, "node").select("key", "i", "o", "class", "out", "_text")
 
     def work(group: pa.Table) -> pa.Table:
         sets = [shingle_weights(text.as_py() or "", s.shingle)[:2] for text in group.column("_text")]
         sizes = np.array([len(x[0]) for x in sets])
-        # an id that is repeated may have come with a text without a word
-        kinds, out = (group.column(c).to_numpy()[sizes > 0] for c in ("class", "out"))
-        sets, sizes = [x for x in sets if len(x[0])], sizes[sizes > 0]
-        if not len(sets):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        kinds, out = (group.column(c).to_numpy() for c in ("class", "out"))
         known, names = np.unique(np.concatenate([x[0] for x in sets]), return_inverse=True)
         counts = np.concatenate([x[1] for x in sets]) if s.weights == "count" else np.ones(len(names), np.int64)
         starts = np.cumsum(sizes) - sizes

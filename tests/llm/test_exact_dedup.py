@@ -35,3 +35,13 @@ def test_prefixes_of_one_another(spark):
 
 def test_empty_table(spark):
     assert exact_dedup(empty(spark)).count() == 0
+
+
+def test_null_and_repeated_ids(spark):
+    long = "x" * 1000
+    rows = [(None, long), (None, long), (4, long + "y"), (4, long + "z"), (4, long + "z"), (4, "")]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    assert result(df, 64) == brute(rows)
+    keyed = spark.createDataFrame([(i, t, None, None, None, k) for k, (i, t) in enumerate(rows)], DOCS + ", k long")
+    found = {r["k"]: r["kept"] for r in exact_dedup(keyed, row_col="k").collect()}
+    assert found == {0: False, 1: True, 2: True, 3: False, 4: True, 5: True}

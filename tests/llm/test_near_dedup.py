@@ -3,8 +3,11 @@ import random
 import numpy as np
 import pytest
 
+from genesieve.llm import near_dedup
 from genesieve.llm.near_dedup import NearSettings, dart_sketches, near_duplicates, shingle_weights, similarity
 
+from genesieve.sources import scratch
+
 from .helpers import DOCS, empty, odd
 
 S = NearSettings()
@@ -55,8 +58,30 @@ def test_odd_rows(spark):
 
 
 def test_repeats_and_null_ids(spark):
-    rows = [tuple(r) for r in near_duplicates(odd(spark)).select("doc_id", "class_id", "kept").collect()]
-    assert len(rows) == 10 and sorted(r for r in rows if r[0] == 7) == [(7, 6, False)] * 2
+    found = near_duplicates(odd(spark, ("_row", "node", "kept"))).select("doc_id", "class_id", "class_size", "kept").collect()
+    rows = sorted((tuple(r) for r in found), key=str)
+    assert [r for r in rows if r[0] in (6, 7)] == [(6, 6, 3, True), (7, 6, 3, False), (7, 6, 3, False)]
+    assert [r for r in rows if r[0] is None] == [(None, None, 1, True)] and len(rows) == 10
+
+
+def test_one_id_with_two_texts(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(60)) for x in "xy")
+    rows = [(1, one), (1, two), (2, one), (2, two), (None, two), (None, "alone"), (None, "alone")]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    found = sorted((tuple(r) for r in near_duplicates(df).select("doc_id", "class_id", "class_size", "kept").collect()), key=str)
+    want = [(1, 1, 2, True), (1, 1, 3, True), (2, 1, 2, False), (2, 1, 3, False), (None, 1, 3, False), (None, None, 2, False), (None, None, 2, True)]
+    assert found == want
+
+
+@pytest.mark.parametrize("small", [0, 10**9])
+def test_classes_do_not_depend_on_what_counts_as_small(spark, monkeypatch, small):
+    """A large near-copy group, with the plans of small and of large tables: both are brute force's classes."""
+    monkeypatch.setattr(near_dedup, "SMALL_SKETCHES", small)
+    monkeypatch.setattr(scratch, "SMALL_ROWS", small)
+    rng = random.Random(5)
+    words = [f"v{rng.randrange(5000)}" for _ in range(150)]
+    rows = [(i, edited(rng, words, rng.randrange(0, 7)), None, None, None) for i in range(250)]
+    assert classes(spark.createDataFrame(rows, DOCS)) == brute([r[:2] for r in rows])
 
 
 def test_empty_table(spark):
