@@ -5,14 +5,17 @@ anchors, the longest increasing run of them (by patience sorting) is kept, and t
 gaps between are aligned in the same way, where words that were frequent in the whole
 may be unique. Coverage is the share of the template's words that are aligned.
 
-A match of coverage c leaves at most (1 - c) of the template's places unmatched, so
-one of its rarest floor((1 - c) n) + 1 places in the text must be matched: only
-windows around those are aligned, and a text that holds too few of the
-template's words is passed over. Neither loses a match.
+A match of coverage c leaves at most (1 - c) of the template's n places unmatched, so
+one of its rarest floor((1 - c) n) + 1 places in the text must be matched, and a match of density d
+spans at most n / d words. So only windows of n / d words to both sides of those places are aligned, and a text that
+holds too few of the template's words is passed over: every match lies in some window. As
+what is unique depends on the range, an alignment of a window may differ from one of the whole
+text; the tests compare both over random edits.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W_]+")
 
-#: Notices of common licenses, as published.
+#: Grants, notices and operative paragraphs of common licenses; those named -notice are one line.
 TEMPLATES = {
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
@@ -46,10 +49,45 @@ TEMPLATES = {
         "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "lgpl-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "agpl-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "mit-disclaimer": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
+    ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
     ),
+    "bsd-second-condition": (
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution."
+    ),
+    "bsd-third-condition": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. "
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "cc0-1.0-notice": "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
     "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
@@ -134,12 +172,13 @@ class Scanner:
                 for i, w in enumerate(words):
                     if w in vocabulary:
                         places.setdefault(w, []).append(i)
+            reach = math.ceil(n / self.density)
             rarest = sorted(range(n), key=lambda j: (counts[template[j]], j))[: n - need + 1]
             done = -1
             for at, j in sorted((p, j) for j in rarest for p in places.get(template[j], ())):
                 if at < done:
                     continue  # inside a match already taken
-                low, high = max(0, at - j - j // 2 - 8), min(len(words), at + (n - j) + (n - j) // 2 + 8)
+                low, high = max(0, at - reach), min(len(words), at + reach + 1)
                 pairs = patience(words[low:high], template)
                 pairs = self._tightest(pairs, n)
                 if len(pairs) >= need:
@@ -164,8 +203,10 @@ class Scanner:
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = 0.8, density: float = 0.6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per match: doc_id, template, coverage, matched, start_word, end_word (of the text's words, end exclusive).
 
-    Words are runs of letters and digits, lower-cased. Null and empty texts have no match;
-    rows that repeat an id are scanned each; other columns are ignored.
+    Words are runs of letters and digits, lower-cased. Null and empty texts have no match. Texts of any length are read whole, in
+    time that grows with their words and with the places of a template's rarest ones. Where matches overlap, the one with more
+    matched words stays, then the better covered, the first, and the first template by name. Rows that repeat an id, or have none, are scanned each;
+    other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     ready = TEMPLATES if templates is None else templates
 

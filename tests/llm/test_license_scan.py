@@ -50,3 +50,45 @@ def test_odd_rows(spark):
     assert scan_licenses(empty(spark)).count() == 0
     df = spark.createDataFrame([(3, "x Released under the MIT License. y"), (3, "x Released under the MIT License. y")], "doc_id long, text string")
     assert [tuple(r) for r in scan_licenses(df).collect()] == [(3, "mit-notice", 1.0, 5, 1, 6)] * 2
+
+
+def edits(rng, words, n):
+    """``words`` with ``n`` random edits: words replaced, left out, or several put in."""
+    words = list(words)
+    for _ in range(n):
+        at = rng.randrange(len(words) - 1)
+        kind = rng.randrange(3)
+        words[at : at + (kind != 2)] = [[f"own{rng.randrange(99)}"], [], [f"own{rng.randrange(99)}" for _ in range(rng.randrange(1, 30))]][kind]
+    return words
+
+
+def test_windows_lose_nothing_that_whole_texts_match():
+    rng = random.Random(6)
+    lost = clipped = whole = 0
+    for round_ in range(600):
+        name = rng.choice([k for k, t in TEMPLATES.items() if len(WORD.findall(t)) > 20])
+        scanner = Scanner({name: TEMPLATES[name]})
+        template = scanner.templates[name]
+        filler = [f"own{rng.randrange(99)}" for _ in range(300)]
+        words = filler[:150] + edits(rng, template, rng.randrange(0, len(template) // 5)) + filler[150:]
+        pairs = scanner._tightest(patience(words, template), len(template))
+        if len(pairs) >= 0.8 * len(template):
+            whole += 1
+            own = scanner.scan(" ".join(words))
+            lost += not own
+            clipped += bool(own) and own[0].matched < len(pairs)
+    assert whole > 150 and lost == 0 and clipped <= 0.01 * whole
+
+
+def test_the_widest_match_is_found():
+    scanner = Scanner({"mit": TEMPLATES["mit"]})
+    words = scanner.templates["mit"]
+    n = len(words)
+    text = words[:48] + ["own"] * 56 + words[48:]
+    assert scanner.scan(" ".join(text))[0].matched >= n - 2
+
+
+def test_a_long_text_of_template_words(spark):
+    text = "software the license " * 60_000 + TEMPLATES["isc"]
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r["template"] for r in scan_licenses(df).collect()] == ["isc"]
