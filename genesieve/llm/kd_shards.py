@@ -1,9 +1,10 @@
 """Sharding by a k-d tree over document metadata.
 
 Documents with equal texts form a group; a group has a weight (its bytes) and
-metadata: source, language, size and a hash of the text. Starting from one node, each
+metadata: source and language (as places among their distinct values, whole strings compared) and size, on a
+logarithmic scale; a hash of the text stands in where these are all equal. Starting from one node, each
 node with more than one shard is split along its widest dimension (ranges are
-taken relative to the whole table), at the value where the weight falls into
+taken relative to the whole table; of equal ones the first as listed), at the value where the weight falls into
 equal halves. That weighted median is found exactly, by radix selection: each pass
 aggregates weights by the next 12 bits of a 60-bit key into at most 4096 sums per
 node, so what reaches the driver is bounded by the number of shards alone.
@@ -23,10 +24,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import even_salts, materialise, salted_rank
 
-DIMENSIONS = ("source", "lang", "size", "hash")
+METADATA = ("source", "lang", "size")
+DIMENSIONS = (*METADATA, "hash")
 DIGIT_BITS, DIGITS, RANGE_BITS = 12, 5, 24
 ATOM_SHARE = 0.01
 CUT_SHARE = 1.0
@@ -45,8 +48,9 @@ def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
 
     ``size`` is the text's UTF-8 bytes plus one; null counts as empty, in size as in
     equality. Shards come out near equal in bytes (law ``bytes``); with fewer groups
-    than shards some stay empty. Null source or language sorts first. Rows that
-    repeat an id are rows of their own. Other columns are ignored; an empty table
+    than shards some stay empty. Null source or language sorts first; the least source
+    and language of a group of equal texts are the group's. Texts of any length are read whole. Rows that
+    repeat an id, or have none, are rows of their own. Other columns are ignored, whatever their names; an empty table
     gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -55,14 +59,15 @@ def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("_same"),
-        _ordinal(F.col(source_col)).alias("_source"),
-        _ordinal(F.col(lang_col)).alias("_lang"),
+        F.col(source_col).cast("string").alias("_source"),
+        F.col(lang_col).cast("string").alias("_lang"),
     )
     rows = materialise(rows, "kd-rows")
     groups = rows.groupBy("_same").agg(F.sum("size").alias("w"), F.min("_source").alias("source"), F.min("_lang").alias("lang"), F.first("size").cast("double").alias("size"), F.count(F.lit(1)).alias("n"))
     # a 24-bit number from the text's digest: breaks ties between groups the same way each time
     groups = groups.withColumns({"size": F.log2("size"), "hash": F.conv(F.substring(F.hex("_same"), 1, 6), 16, 10).cast("double"), "_tie": F.conv(F.substring(F.hex("_same"), 7, 9), 16, 10).cast("long")})
     groups = materialise(groups, "kd-groups")
+    groups = materialise(_with_ordinals(_with_ordinals(groups, "source"), "lang"), "kd-groups")
     span = groups.agg(F.sum("w").alias("w"), *[f(d).alias(f"{d}_{f.__name__}") for d in DIMENSIONS for f in (F.min, F.max)]).first()
     total = span["w"] or 0
     low = {d: span[f"{d}_min"] or 0.0 for d in DIMENSIONS}
@@ -99,10 +104,26 @@ def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     return salted_rank(out, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.xxhash64("doc_id"), salts, "slot").select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
-def _ordinal(text: Column) -> Column:
-    """The first six bytes as a number: strings in the same order, as far as these go."""
-    head = F.rpad(F.hex(F.substring(F.coalesce(text, F.lit("")).cast("binary"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def _ordinals(groups: DataFrame, dim: str) -> DataFrame:
+    """(dim, ordinal): the place of each distinct value among all of them, in order; null comes first.
+
+    Values are dealt to partitions by ranges and numbered in each; a partition's numbers
+    begin after those of the partitions before it, of which there is one row each.
+    """
+    spark = groups.sparkSession
+    values = groups.select(dim).distinct()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = values.repartitionByRange(parts, F.col(dim).asc_nulls_first()).withColumn("_part", F.spark_partition_id())
+    values = materialise(values, "kd-values")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = values.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(F.col(dim).asc_nulls_first()))
+    return values.withColumn("_own", own).join(F.broadcast(starts), "_part").select(dim, (F.col("_own") + F.col("_start") - 1).cast("double").alias(f"_{dim}"))  # a row a partition is broadcast
+
+
+def _with_ordinals(groups: DataFrame, dim: str) -> DataFrame:
+    values = _ordinals(groups, dim).withColumnRenamed(dim, "_value")
+    return groups.join(values, groups[dim].eqNullSafe(values["_value"])).drop(dim, "_value").withColumnRenamed(f"_{dim}", dim)
 
 
 def _key(dim: str, low: dict, full: dict) -> Column:
@@ -122,7 +143,9 @@ def _split(light: DataFrame, nodes: list[Node], low: dict, full: dict) -> list[N
     for i, node in enumerate(nodes):
         r = ranges.get(i)
         width = {d: (r[f"{d}_max"] - r[f"{d}_min"]) / full[d] if r else 0.0 for d in DIMENSIONS}
-        dim = max(DIMENSIONS, key=lambda d: width[d])
+        # the hash only where no metadata differ
+        dim = max(METADATA, key=lambda d: width[d])
+        dim = dim if width[dim] > 0 else "hash"
         w, left_shards = (r["w"] if r else 0), node.shards // 2
         atom_w = sum(a[0] for a in node.atoms)
         goal = (w + atom_w) * left_shards / node.shards

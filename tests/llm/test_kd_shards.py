@@ -1,6 +1,9 @@
+import hashlib
+import math
 import random
 import zlib
 
+from genesieve.llm import kd_shards
 from genesieve.llm.kd_shards import shard_by_tree
 
 from .helpers import DOCS, empty, odd
@@ -53,3 +56,67 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert shard_by_tree(empty(spark), 4).count() == 0
+
+
+def brute(rows, shards):
+    """The same tree in plain Python, for groups that are all light: (text, shard)."""
+    groups = {}
+    for _, text, lang, source, _ in rows:
+        g = groups.setdefault(text, {"w": 0, "source": [], "lang": []})
+        g["w"] += len(text.encode()) + 1
+        g["source"].append(source)
+        g["lang"].append(lang)
+    low_null = lambda xs: min((x for x in xs if x is not None), default=None)
+    order = {d: sorted({low_null(g[d]) for g in groups.values()}, key=lambda x: (x is not None, x or "")) for d in ("source", "lang")}
+    items = []
+    for text, g in groups.items():
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        at = {d: float(order[d].index(low_null(g[d]))) for d in order}
+        items.append({"text": text, "w": g["w"], **at, "size": math.log2(len(text.encode()) + 1), "hash": float(int(digest[:6], 16)), "tie": int(digest[6:15], 16)})
+    dims = ("source", "lang", "size", "hash")
+    low = {d: min(i[d] for i in items) for d in dims}
+    full = {d: (max(i[d] for i in items) - low[d]) or 1.0 for d in dims}
+    out = {}
+
+    def split(items, first, shards):
+        if shards == 1:
+            out.update({i["text"]: first for i in items})
+            return
+        width = {d: (max((i[d] for i in items), default=0) - min((i[d] for i in items), default=0)) / full[d] for d in dims}
+        dim = max(dims[:3], key=lambda d: width[d])
+        dim = dim if width[dim] > 0 else "hash"
+        key = lambda i: (min(int((i[dim] - low[dim]) / full[dim] * 2**24), 2**24 - 1) << 36) + i["tie"]
+        left, before, want = shards // 2, 0, sum(i["w"] for i in items) * (shards // 2) / shards
+        items, cut = sorted(items, key=key), 0
+        while cut < len(items) and before + items[cut]["w"] <= want:
+            before += items[cut]["w"]
+            cut += 1
+        split(items[:cut], first, left)
+        split(items[cut:], first + left, shards - left)
+
+    split(items, 0, shards)
+    return out
+
+
+def test_equals_a_tree_in_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(kd_shards, "ATOM_SHARE", 100.0)
+    monkeypatch.setattr(kd_shards, "CUT_SHARE", 100.0)
+    rng = random.Random(4)
+    texts = ["x" * rng.randrange(5, 300) + str(i) for i in range(400)]
+    rows = [(i, rng.choice(texts), rng.choice(["en", "de", None, "fr"]), rng.choice(["web-crawl-of-the-year-2019", "web-crawl-of-the-year-2020", None]), 1) for i in range(700)]
+    want = brute(rows, 6)
+    text = {r[0]: r[1] for r in rows}
+    assert all(r["shard"] == want[text[r["doc_id"]]] for r in shard_by_tree(spark.createDataFrame(rows, DOCS), 6).collect())
+
+
+def test_sources_with_a_long_common_prefix_are_parted(spark):
+    rows = [(i, f"text {i:05d}", "en", f"a-prefix-of-over-twenty-bytes-{i % 2}", 1) for i in range(2000)]
+    out = shard_by_tree(spark.createDataFrame(rows, DOCS), 2).collect()
+    assert {(r["doc_id"] % 2, r["shard"]) for r in out} == {(0, 0), (1, 1)}
+
+
+def test_equal_metadata_are_parted_by_the_hash(spark):
+    rows = [(i, f"text {i:05d}", "en", "s", 1) for i in range(2000)]
+    out = shard_by_tree(spark.createDataFrame(rows, DOCS), 4).collect()
+    sound(out, 4)
+    assert max(sum(r["shard"] == k for r in out) for k in range(4)) < 550
