@@ -88,45 +88,77 @@ WITH u AS (
   SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS ruled,
          list_transform(string_split(ltrim(path, '/'), '/'), lambda x: regexp_replace(regexp_replace(x, '[0-9a-fA-F]{{12,}}', '{{hex}}', 'g'), '[0-9]+', '{{n}}', 'g')) AS parts FROM u
 ), s AS (
-  SELECT *, CASE WHEN len(parts) > 6 THEN list_append(parts[1:6], '{{*}}') ELSE parts END AS shape, CASE ruled WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad FROM p
-), leaves AS (
+  SELECT *, array_to_string(parts, '/') AS shape, CASE ruled WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad FROM p
+), leaves AS MATERIALIZED (
   SELECT host, shape, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad FROM s GROUP BY host, shape
-), steps AS (
-  SELECT host, shape, i, array_to_string(shape[1:i - 1], '/') AS parent, shape[i] AS value FROM leaves, unnest(range(1, len(shape) + 1)) AS t(i)
-), wide AS (
-  SELECT host, parent, i FROM steps GROUP BY host, parent, i HAVING count(DISTINCT value) > 20
-), varied AS (
-  SELECT s.host, s.shape, list(s.i) AS at FROM steps s JOIN wide w ON s.host = w.host AND s.parent = w.parent AND s.i = w.i GROUP BY s.host, s.shape
-), general AS (
-  SELECT l.*, list_transform(l.shape, lambda x, i: CASE WHEN list_contains(v.at, i) THEN '{{*}}' ELSE x END) AS path FROM leaves l LEFT JOIN varied v ON l.host = v.host AND l.shape = v.shape
-), t AS (
-  SELECT *, path[1] AS branch, array_to_string(path[2:], '/') AS rest FROM general
-), mass AS (
-  SELECT host, branch, sum(n) AS mine, sum(labelled) AS lab, sum(bad) AS bad_n FROM t GROUP BY host, branch
-), cells AS (
-  SELECT host, branch, rest, sum(n) AS n FROM t GROUP BY host, branch, rest
-), kin AS (
-  SELECT host, branch, any_value(m.mine) AS mine,
-         CASE WHEN any_value(lab) = 0 THEN 'none' WHEN any_value(bad_n) >= 0.9 * any_value(lab) THEN 'bad' WHEN any_value(bad_n) <= 0.1 * any_value(lab) THEN 'good' ELSE 'mixed' END
-         || chr(10) || coalesce(string_agg(rest, ' ' ORDER BY rest) FILTER (WHERE n >= 0.1 * mine), '') AS kin
-  FROM cells JOIN mass m USING (host, branch) GROUP BY host, branch
-), pooled AS (
-  SELECT c.*, k.mine, k.kin, sum(c.n) OVER (PARTITION BY host, kin) AS whole, sum(c.n) OVER (PARTITION BY host, kin, rest) AS alike FROM cells c JOIN kin k USING (host, branch)
-), test AS (
-  SELECT host, branch, kin, sum((n - mine * alike / whole) ** 2 / (mine * alike / whole)) + greatest(any_value(mine) - sum(mine * alike / whole), 0.0) <= count(*) + 3 * sqrt(2.0 * count(*)) AS fits
-  FROM pooled GROUP BY host, branch, kin
-), merged AS (
-  SELECT t.*, CASE WHEN fits THEN '{{' || substr(md5(kin), 1, 12) || '}}' ELSE branch END || '/' || rest AS template FROM t JOIN test USING (host, branch)
 ), prior AS (
-  SELECT CASE WHEN sum(labelled) > 0 THEN sum(bad) / sum(labelled) ELSE 0 END AS prior FROM merged
-), scored AS (
-  SELECT host, template, (sum(bad) + 10 * any_value(prior)) / (sum(labelled) + 10) AS purity FROM merged, prior GROUP BY host, template
+  SELECT CASE WHEN sum(labelled) > 0 THEN sum(bad) / sum(labelled) ELSE 0 END AS prior FROM leaves
+), hosts AS (
+  SELECT host, (sum(bad) + 10 * any_value(prior)) / (sum(labelled) + 10) AS purity, sum(n) AS mass FROM leaves, prior GROUP BY host
+), level0 AS MATERIALIZED (
+  SELECT host, shape, n, labelled, bad, purity, mass, 0 AS known, '' AS node, shape AS rest FROM leaves JOIN hosts USING (host)
+){"".join(_op2_level(i) for i in range(1, SQL_LEVELS + 1))}, judged AS (
+  {" UNION ALL ".join(f"SELECT host, shape, node, purity, known FROM level{i} WHERE rest IS NULL" for i in range(1, SQL_LEVELS + 1))}
 )
-SELECT page_id, s.host, s.path, rule, coalesce(ruled, CASE WHEN purity >= 0.9 THEN 'block' ELSE 'allow' END) AS verdict, m.template, round(CAST(purity AS DOUBLE) + {NUDGE}, 6) AS purity
-FROM s JOIN merged m ON s.host = m.host AND s.shape = m.shape JOIN scored c ON m.host = c.host AND m.template = c.template
+SELECT page_id, s.host, s.path, rule, coalesce(ruled, CASE WHEN known > 0 AND purity >= 0.9 THEN 'block' ELSE 'allow' END) AS verdict,
+       node AS template, round(CAST(purity AS DOUBLE) + {NUDGE}, 6) AS purity
+FROM s JOIN judged j ON s.host = j.host AND s.shape = j.shape
 """
 
 
+#: Levels that the SQL spells out; the tables' paths have three.
+SQL_LEVELS = 4
+
+
+def _op2_level(i: int) -> str:
+    return f"""
+, seg{i} AS (
+  SELECT * EXCLUDE (rest), CASE WHEN mass * 0.05 <= 1 THEN rest ELSE split_part(rest, '/', 1) END AS seg,
+         CASE WHEN mass * 0.05 > 1 AND contains(rest, '/') THEN substr(rest, instr(rest, '/') + 1) END AS rest
+  FROM level{i - 1} WHERE rest IS NOT NULL
+), few{i} AS (
+  SELECT host, node, seg, count(*) OVER (PARTITION BY host, node) AS several
+  FROM (SELECT host, node, seg FROM seg{i} GROUP BY host, node, seg HAVING sum(n) < 0.05 * any_value(mass))
+), wide{i} AS MATERIALIZED (
+  SELECT l.* REPLACE (CASE WHEN several > 1 THEN '{{*}}' ELSE l.seg END AS seg), coalesce(l.rest, '{{end}}') AS after
+  FROM seg{i} l LEFT JOIN few{i} f ON l.host = f.host AND l.node = f.node AND l.seg = f.seg
+), common{i} AS (
+  SELECT host, node, after FROM wide{i} GROUP BY host, node, after HAVING sum(n) >= 0.05 * any_value(mass)
+), cells{i} AS MATERIALIZED (
+  SELECT w.host, w.node, seg, CASE WHEN c.after IS NULL THEN '{{*}}' ELSE w.after END AS cell, CAST(sum(n) AS DOUBLE) AS n
+  FROM wide{i} w LEFT JOIN common{i} c ON w.host = c.host AND w.node = c.node AND w.after = c.after GROUP BY ALL
+), sibling{i} AS MATERIALIZED (
+  SELECT host, node, seg, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(labelled) AS DOUBLE) AS labelled, CAST(sum(bad) AS DOUBLE) AS bad
+  FROM wide{i} GROUP BY host, node, seg HAVING count(rest) > 0 AND any_value(mass) * 0.05 > 1
+), pair{i} AS (
+  SELECT a.host, a.node, a.seg AS sa, b.seg AS sb, a.n AS na, b.n AS nb, a.labelled AS la, b.labelled AS lb, a.bad AS ba, b.bad AS bb
+  FROM sibling{i} a JOIN sibling{i} b ON a.host = b.host AND a.node = b.node AND (a.n > b.n OR a.n = b.n AND a.seg < b.seg)
+), met{i} AS (
+  SELECT p.*, c.cell, sum(CASE WHEN c.seg = sa THEN c.n ELSE 0 END) AS x, sum(CASE WHEN c.seg = sb THEN c.n ELSE 0 END) AS y
+  FROM pair{i} p JOIN cells{i} c ON p.host = c.host AND p.node = c.node AND c.seg IN (sa, sb) GROUP BY ALL
+), tested{i} AS (
+  SELECT host, node, sa, sb, na, nb, la, lb, ba, bb, sum((x * sqrt(nb / na) - y * sqrt(na / nb)) ** 2 / (x + y)) AS chi, count(*) - 1 AS df FROM met{i} GROUP BY ALL
+), similar{i} AS MATERIALIZED (
+  SELECT host, node, sa, sb, na FROM tested{i}
+  WHERE chi <= df + 0.05 * (na + nb) + 3 * sqrt(2.0 * df + 4 * 0.05 * (na + nb))
+    AND (la = 0 OR lb = 0 OR abs(ba / la - bb / lb) <= 0.05 + 3 * sqrt((ba + bb) / (la + lb) * (1 - (ba + bb) / (la + lb)) * (1 / la + 1 / lb)))
+), follower{i} AS (
+  SELECT host, node, sb AS seg, first(sa ORDER BY na DESC, sa) AS leader FROM similar{i} s
+  WHERE NOT EXISTS (SELECT 1 FROM similar{i} t WHERE t.host = s.host AND t.node = s.node AND t.sb = s.sa) GROUP BY host, node, sb
+), leader{i} AS (
+  SELECT host, node, seg, leader FROM follower{i} UNION SELECT host, node, leader, leader FROM follower{i}
+), below{i} AS MATERIALIZED (
+  SELECT w.host, shape, n, labelled, bad, purity, mass, rest, w.node || '/' || CASE WHEN leader IS NULL THEN w.seg ELSE '{{' || leader || '~}}' END AS node
+  FROM wide{i} w LEFT JOIN leader{i} l ON w.host = l.host AND w.node = l.node AND w.seg = l.seg
+), node{i} AS (
+  SELECT host, node, sum(n) AS mass, sum(labelled) AS known,
+         CASE WHEN sum(n) = max(mass) THEN max(purity) ELSE (sum(bad) + 10 * max(purity)) / (sum(labelled) + 10) END AS purity
+  FROM below{i} GROUP BY host, node
+), level{i} AS MATERIALIZED (
+  SELECT b.host, shape, n, labelled, bad, k.purity, k.mass, known, b.node, rest FROM below{i} b JOIN node{i} k ON b.host = k.host AND b.node = k.node
+)"""
+
+
 OP2_SQL = _op2_sql()
 
 OP8_SQL = """
