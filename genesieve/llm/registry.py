@@ -50,7 +50,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(find_spans(table(spark, sf_dir, "documents"), train(spark)))
+    docs = table(spark, sf_dir, "documents")
+    return digest(find_spans(docs, train(spark, docs)))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
