@@ -24,6 +24,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 #: The kinds in their order, and their patterns. Quantifiers are possessive
 #: and starts anchored to the run they begin, which matches the same spans in linear time.
 KINDS = ("email", "ip", "card", "phone")
@@ -346,13 +348,11 @@ def weak_lines(docs: DataFrame, most_docs: int = 2000, per_doc: int = 8, id_col:
         "card": "regexp_replace(x.m, '([0-9]{4})[ -]?(?=[0-9])', '$1.')",
         "phone": "regexp_replace(x.m, '^[+](1[^0-9]+)?', '')",
     }
-    found = None
-    for k, sql in blur.items():
-        spans = rows.select("h", "_text", F.explode(F.expr(f"slice({k}, 1, {per_doc})")).alias("x"))
-        left = f"substring(_text, cast(greatest(x.s - {CONTEXT}, 0) + 1 as int), cast(least(x.s, {CONTEXT}) as int))"
-        line = spans.select(F.expr(f"concat({left}, {sql}, substring(_text, cast(x.e + 1 as int), {CONTEXT}))").alias("_text"), F.expr(f"cast({_passes(k)} as int)").alias("label"), F.pmod("h", F.lit(3)).cast("int").alias("fold"))
-        found = line if found is None else found.unionByName(line)
-    return found
+    left = f"substring(_text, cast(greatest(x.s - {CONTEXT}, 0) + 1 as int), cast(least(x.s, {CONTEXT}) as int))"
+    right = f"substring(_text, cast(x.e + 1 as int), {CONTEXT})"
+    lines = [f"transform(slice({k}, 1, {per_doc}), x -> named_struct('text', concat({left}, {sql}, {right}), 'label', cast({_passes(k)} as int)))" for k, sql in blur.items()]
+    rows = rows.select("h", F.explode(F.expr(f"concat({', '.join(lines)})")).alias("x"))
+    return rows.select(F.col("x.text").alias("_text"), F.col("x.label").alias("label"), F.pmod("h", F.lit(3)).cast("int").alias("fold"))
 
 
 def _described(rows: DataFrame) -> DataFrame:
@@ -364,7 +364,8 @@ def _described(rows: DataFrame) -> DataFrame:
 def train(spark: SparkSession, docs: DataFrame | None = None, per_form: int = 150) -> Model:
     """Fit on generated lines, and on lines from ``docs`` if given; only counts of distinct feature vectors reach the driver (fewer than there are lines)."""
     lines = training_lines(spark, per_form)
-    lines = lines if docs is None else lines.unionByName(weak_lines(docs))
+    # written first, so that the candidates' expressions stand in the plan once
+    lines = materialise(lines if docs is None else lines.unionByName(weak_lines(docs)), "pii-lines")
     found = _described(_candidates(lines)).select("label", "fold", F.explode("_f").alias("x"))
     rows = found.groupBy("label", "fold", "x.kind", *[f"x.{n}" for n in FEATURES]).agg(F.count(F.lit(1)).alias("n")).collect()
     counts = [(tuple(r[n] for n in FEATURES), r["kind"], r["label"], r["fold"], r["n"]) for r in rows]
