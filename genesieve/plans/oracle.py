@@ -149,7 +149,7 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "context": (
         ("near", "clusters", "study_traits"),
-        f"""context AS (SELECT s.{K6.replace(', ', ', s.')}, c.cluster_label FROM sent_f s JOIN clusters c USING ({K5}) WHERE s.foot <= 100000),
+        f"""context AS (SELECT s.{K6.replace(', ', ', s.')}, c.cluster_label FROM sent_f s JOIN clusters c USING ({K5}) WHERE s.foot < 500000),
     overlap AS (SELECT DISTINCT a.study_id AS a, b.study_id AS b FROM study_traits a JOIN study_traits b USING (trait))""",
     ),
 }

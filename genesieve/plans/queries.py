@@ -182,7 +182,7 @@ def study_flag(s: Star) -> DataFrame:
 
 
 def _interlocus_data(s: Star) -> DataFrame:
-    spine = distance.sentinel_distances(s["loci"], s["genes"]).where("foot <= 100000")
+    spine = distance.sentinel_distances(s["loci"], s["genes"]).where(F.col("foot") < distance.REACH)
     return interlocus.with_context(spine, _clusters(s), _studies(s))
 
 
