@@ -36,7 +36,7 @@ def test_very_long_pre_tokens(pair, text):
 
 def test_ties_go_left():
     bpe = ByteBpe({b"a": 0, b"aa": 1, b"aaa": 2}, "a+")
-    assert bpe.merge(b"aaaaa") == [1, 2] or bpe.merge(b"aaaaa") == tiktoken.Encoding("t", pat_str="a+", mergeable_ranks=bpe.ranks, special_tokens={}).encode_ordinary("aaaaa")
+    assert bpe.merge(b"aaaaa") == tiktoken.Encoding("t", pat_str="a+", mergeable_ranks=bpe.ranks, special_tokens={}).encode_ordinary("aaaaa")
     assert bpe.merge(b"") == [] and bpe.encode("") == []
 
 
