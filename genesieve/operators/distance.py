@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from genesieve.functions.scalar import footprint_distance
 from genesieve.operators.neighbourhood import with_log_gap
@@ -35,10 +36,14 @@ def sentinel_distances(loci: DataFrame, genes: DataFrame) -> DataFrame:
     return out
 
 
+def _density(foot: Column) -> dict[str, Column]:
+    return {c: F.count_if(foot <= k * 1000) for k, c in zip((50, 100, 250, 500), DENSITY, strict=True)}
+
+
 def gene_density(loci: DataFrame, genes: DataFrame) -> DataFrame:
     """Per locus: genes whose footprint lies within 50, 100, 250 and 500 kb."""
     near = _near(loci.select(*LOCUS), genes, "chrom", "pos")
-    return near.groupBy(*LOCUS).agg(*[F.count_if(F.col("foot") <= k * 1000).alias(c) for k, c in zip((50, 100, 250, 500), DENSITY, strict=True)])
+    return near.groupBy(*LOCUS).agg(*[n.alias(c) for c, n in _density(F.col("foot")).items()])
 
 
 def tag_distances(tags: DataFrame, genes: DataFrame) -> DataFrame:
@@ -56,5 +61,10 @@ def tag_distances(tags: DataFrame, genes: DataFrame) -> DataFrame:
 
 def distance_features(loci: DataFrame, tags: DataFrame, genes: DataFrame) -> DataFrame:
     """The spine: genes whose footprint is nearer than 500 kb to the locus, with every distance feature and the density."""
-    own = sentinel_distances(loci, genes).where(F.col("dist_foot_sentinel") <= math.log(REACH)).drop("foot")
-    return own.join(tag_distances(tags, genes), [*LOCUS_GENE], "left").join(gene_density(loci, genes), [*LOCUS], "left")
+    near = sentinel_distances(loci, genes)
+    # the density counts the same near genes, so it is a window over the locus, as the gaps are
+    here = Window.partitionBy(*LOCUS)
+    near = near.withColumns({c: n.over(here) for c, n in _density(F.col("foot")).items()})
+    own = near.where(F.col("dist_foot_sentinel") <= math.log(REACH))
+    rest = [c for c in own.columns if c not in (*LOCUS_GENE, "foot", *DENSITY)]
+    return own.select(*LOCUS_GENE, *rest, *DENSITY).join(tag_distances(tags, genes), [*LOCUS_GENE], "left")

@@ -168,6 +168,11 @@ def _interlocus(by_trait: bool) -> str:
         string_agg(partner || ':' || CAST(trunc(score * 100) AS INT), ',' ORDER BY partner, score) AS {p}_partners FROM o JOIN n USING (study_id) GROUP BY {K6}"""
 
 
+def _interlocus_both() -> str:
+    study, trait = (_interlocus(x).replace("WITH_", "WITH", 1) for x in (False, True))
+    return f"WITH_ by_study AS ({study}), by_trait AS ({trait}) SELECT * FROM by_study JOIN by_trait USING ({K6})"
+
+
 THRESHOLDS = """WITH_ e AS (SELECT clf, ft, score, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label <> 1) AS n FROM scored GROUP BY clf, ft, score),
     t AS (SELECT *, sum(p) OVER d AS tp, sum(n) OVER d AS fp, sum(p) OVER g AS ap, sum(n) OVER g AS an FROM e WINDOW d AS (PARTITION BY clf, ft ORDER BY score DESC), g AS (PARTITION BY clf, ft))"""
 CONFUSION = """WITH_ c AS (SELECT clf, ft, count(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp, count(*) FILTER (WHERE label <> 1 AND score >= 0.5) AS fp,
@@ -247,6 +252,7 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "study_flag": (("study_list",), "SELECT * FROM study_list"),
     "interlocus_by_study": (("context", "interactions"), _interlocus(False)),
     "interlocus_by_trait": (("context", "interactions"), _interlocus(True)),
+    "interlocus_features": (("context", "interactions"), _interlocus_both()),
     "feature_matrix": (("spine", "vep_f", "dhs_f", "enh_f", "pph_f", "pch_f", "clpp", "llr", "csize", "study_list", "resolved"), MATRIX),
     "gold_rank": (("gold",), "SELECT * FROM gold"),
     "gold_labels": (("labelled",), "SELECT * FROM labelled"),
@@ -342,7 +348,7 @@ ROUND = {
     "evidence_ave_nbh": "vep_ave vep_ave_nbh", "evidence_features": FAMILY["vep"], "dhs_features": FAMILY["dhs"], "enhancer_features": FAMILY["enh"],
     "polyphen_features": FAMILY["pph"], "tissue_evidence": FAMILY["tis"], "interval_evidence": FAMILY["pch"], "distance_sentinel": DISTANCES, "distance_tags": TAG_DISTANCES,
     "distance_features": f"{DISTANCES} {TAG_DISTANCES}", "clpp_features": CLPP, "coloc_features": LLR, "interlocus_by_study": SUMS.format("interlocus_study"),
-    "interlocus_by_trait": SUMS.format("interlocus_trait"), "gold_rank": "neglog_p", "heldout_scores": "y_proba",
+    "interlocus_by_trait": SUMS.format("interlocus_trait"), "interlocus_features": f"{SUMS.format('interlocus_study')} {SUMS.format('interlocus_trait')}", "gold_rank": "neglog_p", "heldout_scores": "y_proba",
     "feature_matrix": " ".join([DISTANCES, TAG_DISTANCES, *[FAMILY[p] for p in ("vep", "dhs", "enh", "pph", "pch")], CLPP, LLR, "proteinAttenuation"]),
     "confusion_report": "accuracy precision recall tpr tnr fpr fnr fdr f1 balanced_accuracy", "average_precision": "average_precision", "roc_auc": "roc_auc",
     "pr_curve": "score precision recall", "roc_curve": "score fpr tpr", "calibration": "mean_score share_positive", "importance_means": "mean_importance",

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from genesieve.ml import folds as fold_ops
 from genesieve.operators import coloc, components, distance, evidence, interlocus, labels, matrix, metrics, staging
 from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE
+from genesieve.sources.scratch import materialise
 from genesieve.sources.star import NUDGE, Star
 
 
-
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(F.col(c) + NUDGE, 6).alias(c) if t == "double" else F.col(c).cast("bigint").alias(c) if t in ("int", "smallint") else F.col(c) for c, t in df.dtypes])
 
@@ -183,7 +183,7 @@ def study_flag(s: Star) -> DataFrame:
 
 def _interlocus_data(s: Star) -> DataFrame:
     spine = distance.sentinel_distances(s["loci"], s["genes"]).where(F.col("foot") < distance.REACH)
-    return interlocus.with_context(spine, _clusters(s), _studies(s))
+    return materialise(interlocus.with_context(spine, _clusters(s), _studies(s)), "context")
 
 
 def _flat_partners(df: DataFrame, prefix: str) -> DataFrame:
@@ -199,15 +199,23 @@ def interlocus_by_trait(s: Star) -> DataFrame:
     return _flat_partners(interlocus.interlocus_scores(_interlocus_data(s), s["interactions"], True, "interlocus_trait"), "interlocus_trait")
 
 
+def interlocus_features(s: Star) -> DataFrame:
+    s.stage("interactions")
+    both = interlocus.interlocus_features(_interlocus_data(s), s["interactions"])
+    return _flat_partners(_flat_partners(both, "interlocus_study"), "interlocus_trait")
+
+
 def _matrix(s: Star) -> DataFrame:
+    s.stage("lines", "tags")
+    qtl = materialise(_qtl(s), "qtl")
     families = [
         evidence.evidence_features(s["tags"], s["evidence"], EVIDENCE_COLUMNS["vep"]),
         evidence.evidence_features(s["tags"], s["dhs_evidence"], EVIDENCE_COLUMNS["dhs_prmtr"]),
         evidence.evidence_features(s["tags"], s["enhancer_evidence"], EVIDENCE_COLUMNS["enhc_tss"]),
         evidence.evidence_features(s["tags"], _polyphen(s), EVIDENCE_COLUMNS["polyphen"]),
         evidence.tissue_features(evidence.tags_in_contacts(s["tags"], s["contacts"]), EVIDENCE_COLUMNS["pchicJung"]),
-        coloc.clpp_features(s["tags"], _qtl(s)),
-        coloc.coloc_features(staging.prepare_coloc(s["coloc_raw"], _coding(s)), _qtl(s)),
+        coloc.clpp_features(s["tags"], qtl),
+        coloc.coloc_features(staging.prepare_coloc(s["coloc_raw"], _coding(s)), qtl),
     ]
     attenuation = staging.one_value_per_gene(_resolved(s)).select("gene_id", F.col("value").alias("proteinAttenuation"))
     spine = distance.distance_features(s["loci"], s["tags"], s["genes"])
@@ -325,7 +333,7 @@ ALL = (
     scan_project_filter, neglog_p, credset_unify, qtl_prepare, coloc_prepare, mixed_split_interval, mixed_split_consequence, gene_table, best_transcript,
     network_prepare, name_resolution, name_unresolved, trait_fixup, variant_index_filter, locus_components, evidence_max_nbh, evidence_ave_nbh, evidence_features,
     dhs_features, enhancer_features, polyphen_features, tissue_evidence, interval_evidence, distance_sentinel, gene_density, distance_tags, distance_features,
-    clpp_features, coloc_features, credset_size, study_flag, interlocus_by_study, interlocus_by_trait, feature_matrix, gold_rank, gold_labels, training_split,
+    clpp_features, coloc_features, credset_size, study_flag, interlocus_by_study, interlocus_by_trait, interlocus_features, feature_matrix, gold_rank, gold_labels, training_split,
     dropout_reports, fold_assignment, heldout_scores, confusion_report, average_precision, roc_auc, pr_curve, roc_curve, calibration, completeness,
     importance_means, parameter_usage, score_pivot, trained_scores,
 )

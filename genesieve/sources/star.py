@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from genesieve.sources.scratch import materialise
+
 #: Added before rounding to 6 places, so that decimals that end in 5 are rounded alike whatever their last bits.
 NUDGE = 3.7e-10
 
@@ -117,6 +119,11 @@ class Star:
                 self.made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self.made[name]
 
+    def stage(self, *names: str) -> None:
+        """Write views to the shared folder: those that several steps of a query read are then made once."""
+        for name in names:
+            self.made[name] = materialise(self[name], name)
+
 
 def duck_ctes(names: list[str]) -> str:
     """The views and what they read as ``name AS (...)``, in order."""
