@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from genesieve.functions.scalar import footprint_distance
 from genesieve.operators.neighbourhood import with_log_gap
 from genesieve.operators.rangejoin import points_near_ends
-from genesieve.schema import DENSITY, LOCUS, LOCUS_GENE
+from genesieve.schema import DENSITY, LOCUS, LOCUS_GENE, LOCUS_SORT
 
 REACH = 500_000
 GENE = {"chrom": "_gene_chrom", "gene_start": "_start", "gene_end": "_end", "tss": "_tss"}
@@ -29,7 +29,7 @@ def _ln1(x: str) -> Column:
 
 def sentinel_distances(loci: DataFrame, genes: DataFrame) -> DataFrame:
     """Per (locus, gene near it): the locus's own distances, with their neighbourhood gaps."""
-    near = _near(loci.select(*LOCUS), genes, "chrom", "pos")
+    near = _near(loci.select(*LOCUS).repartition(*LOCUS), genes, "chrom", "pos")
     out = near.select(*LOCUS_GENE, _ln1("foot").alias("dist_foot_sentinel"), _ln1("tss").alias("dist_tss_sentinel"), "foot")
     for c in ("dist_foot_sentinel", "dist_tss_sentinel"):
         out = with_log_gap(out, c, LOCUS, f"{c}_nbh", "min")
@@ -42,29 +42,42 @@ def _density(foot: Column) -> dict[str, Column]:
 
 def gene_density(loci: DataFrame, genes: DataFrame) -> DataFrame:
     """Per locus: genes whose footprint lies within 50, 100, 250 and 500 kb."""
-    near = _near(loci.select(*LOCUS), genes, "chrom", "pos")
+    near = _near(loci.select(*LOCUS).repartition(*LOCUS), genes, "chrom", "pos")
     return near.groupBy(*LOCUS).agg(*[n.alias(c) for c, n in _density(F.col("foot")).items()])
 
 
+TAG_VALUES = ("dist_foot_min", "dist_tss_min", "dist_foot_ave", "dist_tss_ave")
+
+
+def _tag_sums() -> list[Column]:
+    least = [F.ln(F.min(F.when(F.col("in95"), F.col(d))) + 1).alias(f"dist_{d}_min") for d in ("foot", "tss")]
+    return least + [F.ln(F.sum(F.col(d) * F.col("weight")) + 1).alias(f"dist_{d}_ave") for d in ("foot", "tss")]
+
+
 def tag_distances(tags: DataFrame, genes: DataFrame) -> DataFrame:
     """Per (locus, gene near a tag): least distance over the 95 % set, and posterior-weighted distance over all tags, with gaps."""
-    points = tags.select(*LOCUS, "tag_chrom", "tag_pos", "weight", "in95").dropna()
+    points = tags.select(*LOCUS, "tag_chrom", "tag_pos", "weight", "in95").dropna().repartition(*LOCUS)
     near = _near(points, genes, "tag_chrom", "tag_pos")
-    aggs = []
-    for d in ("foot", "tss"):
-        aggs += [F.min(F.when(F.col("in95"), _ln1(d))).alias(f"dist_{d}_min"), F.ln(F.sum(F.col(d) * F.col("weight")) + 1).alias(f"dist_{d}_ave")]
-    out = near.groupBy(*LOCUS_GENE).agg(*aggs)
-    for c in ("dist_foot_min", "dist_tss_min", "dist_foot_ave", "dist_tss_ave"):
+    out = near.groupBy(*LOCUS_GENE).agg(*_tag_sums())
+    for c in TAG_VALUES:
         out = with_log_gap(out, c, LOCUS, f"{c}_nbh", "min")
     return out
 
 
 def distance_features(loci: DataFrame, tags: DataFrame, genes: DataFrame) -> DataFrame:
-    """The spine: genes whose footprint is nearer than 500 kb to the locus, with every distance feature and the density."""
-    near = sentinel_distances(loci, genes)
-    # the density counts the same near genes, so it is a window over the locus, as the gaps are
-    here = Window.partitionBy(*LOCUS)
-    near = near.withColumns({c: n.over(here) for c, n in _density(F.col("foot")).items()})
-    own = near.where(F.col("dist_foot_sentinel") <= math.log(REACH))
-    rest = [c for c in own.columns if c not in (*LOCUS_GENE, "foot", *DENSITY)]
-    return own.select(*LOCUS_GENE, *rest, *DENSITY).join(tag_distances(tags, genes), [*LOCUS_GENE], "left")
+    """The spine: genes whose footprint is nearer than 500 kb to the locus, with every distance feature and the density.
+
+    Loci and tags are points of one near-gene join, laid out by locus before it, so with a
+    gene table that Spark broadcasts the aggregation and all windows need no other shuffle.
+    """
+    own = loci.select(*LOCUS, F.col("chrom").alias("at_chrom"), F.col("pos").alias("at_pos"), F.lit(None).cast("double").alias("weight"), F.lit(None).cast("boolean").alias("in95"), F.lit(True).alias("own"))
+    others = tags.select(*LOCUS, "tag_chrom", "tag_pos", "weight", "in95").dropna().select(*LOCUS, F.col("tag_chrom").alias("at_chrom"), F.col("tag_pos").alias("at_pos"), "weight", "in95", F.lit(False).alias("own"))
+    near = _near(own.unionByName(others).repartition(*LOCUS), genes, "at_chrom", "at_pos")
+    first = [F.min(F.when(F.col("own"), F.col("foot"))).alias("_foot")]
+    first += [F.ln(F.min(F.when(F.col("own"), F.col(d))) + 1).alias(f"dist_{d}_sentinel") for d in ("foot", "tss")]
+    out = near.groupBy(*LOCUS_GENE).agg(*first, *_tag_sums())
+    for c in ("dist_foot_sentinel", "dist_tss_sentinel", *TAG_VALUES):
+        out = with_log_gap(out, c, LOCUS, f"{c}_nbh", "min")
+    here = Window.partitionBy(*LOCUS_SORT)
+    out = out.withColumns({c: n.over(here) for c, n in _density(F.col("_foot")).items()})
+    return out.where(F.col("dist_foot_sentinel") <= math.log(REACH)).drop("_foot")

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from genesieve.functions.scalar import ratio
+from genesieve.schema import sort_order
 
 
 def _extreme(df: DataFrame, value: str, locus: Sequence[str], kind: str) -> Column:
-    return getattr(F, kind)(value).over(Window.partitionBy(*locus))
+    return getattr(F, kind)(value).over(Window.partitionBy(*sort_order(locus)))
 
 
 def with_ratio(df: DataFrame, value: str, locus: Sequence[str], out: str) -> DataFrame:

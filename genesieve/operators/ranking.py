@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from genesieve.schema import sort_order
+
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each group. Catalyst limits each partition before the shuffle."""
-    first = Window.partitionBy(*keys).orderBy(*order)
+    first = Window.partitionBy(*sort_order(keys)).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 

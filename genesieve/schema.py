@@ -1,7 +1,13 @@
 """Key tuples and the feature dictionary."""
 
+from __future__ import annotations
+
+from collections.abc import Sequence
+
 LOCUS = ("study_id", "chrom", "pos", "ref", "alt")
 LOCUS_GENE = (*LOCUS, "gene_id")
+#: The same key with its most varied column first, a number, which sorts far faster than study names do.
+LOCUS_SORT = ("pos", "chrom", "study_id", "ref", "alt")
 TAG = ("tag_chrom", "tag_pos", "tag_ref", "tag_alt")
 LEAD = ("lead_chrom", "lead_pos", "lead_ref", "lead_alt")
 VARIANT = ("chrom", "pos", "ref", "alt")
@@ -24,6 +30,13 @@ DENSITY = tuple(f"gene_count_lte_{k}k" for k in (50, 100, 250, 500))
 HELPERS = ("count_credset_95", "has_sumstats", *DENSITY, "proteinAttenuation")
 
 
+def sort_order(keys: Sequence[str]) -> list[str]:
+    """The keys, with ``LOCUS_SORT`` in place of a locus among them; for windows and joins, whose results don't depend on the order."""
+    if not set(LOCUS) <= set(keys):
+        return list(keys)
+    return [*LOCUS_SORT, *[k for k in keys if k not in LOCUS]]
+
+
 def feature_groups() -> dict[str, tuple[str, ...]]:
     """Group name -> columns, as the feature sets combine them."""
     e = EVIDENCE_COLUMNS
