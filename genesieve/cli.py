@@ -8,21 +8,22 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from genesieve.ml import train
-from genesieve.operators import components, evidence, labels, matrix, metrics, staging
+from genesieve.operators import components, evidence, interlocus, labels, matrix, metrics, staging
 from genesieve.operators.coloc import clpp_features, coloc_features
 from genesieve.operators.distance import distance_features
-from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE, TAG, feature_sets
+from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE, TAG, feature_sets, missing_features
 from genesieve.session import session
-from genesieve.sources.catalog import PROTEIN_ATTENUATION, STRING_ALIASES, STRING_LINKS, Catalog, Dataset, csv, write_report
+from genesieve.sources.catalog import FINE_MAPPING, GENES, GOLD_STANDARDS, PHENOTYPES, PROTEIN_ATTENUATION, STRING_ALIASES, STRING_LINKS, SYNONYMS, VARIANT_TO_GENE, Catalog, Dataset, csv, write_report
 
 STAGED = ("studies", "toploci", "credsets_v2d", "credsets_qtl", "genes", "coloc", "interval", "vep", "polyphen", "string", "clusters", "contacts", "attenuation", "variants")
-FEATURES = ("distance", "vep", "polyphen", "dhs_prmtr", "enhc_tss", "pchicJung", "clpp", "coloc", "matrix")
+FEATURES = ("distance", "vep", "polyphen", "dhs_prmtr", "enhc_tss", "pchicJung", "clpp", "coloc", "interlocus", "matrix")
 
 
 def catalog(spark, root: str, version: str) -> Catalog:
     """Raw tables under <root>/raw, staged ones under <root>/<version>/staged, features under <root>/<version>/features."""
     raw = {f"raw_{n}": Dataset(f"{root}/raw/{n}") for n in ("studies", "toploci", "pics", "coloc", "contacts", "annotation")}
-    raw |= {f"raw_{n}": Dataset(f"{root}/raw/{n}", "json") for n in ("fine_mapping", "phenotypes", "v2g", "genes", "synonyms")}
+    json = {"fine_mapping": FINE_MAPPING, "phenotypes": PHENOTYPES, "v2g": VARIANT_TO_GENE, "genes": GENES, "synonyms": SYNONYMS}
+    raw |= {f"raw_{n}": Dataset(f"{root}/raw/{n}", "json", schema) for n, schema in json.items()}
     raw |= {"raw_links": csv(f"{root}/raw/links", STRING_LINKS, " "), "raw_aliases": csv(f"{root}/raw/aliases", STRING_ALIASES, "\t"), "raw_attenuation": csv(f"{root}/raw/attenuation", PROTEIN_ATTENUATION)}
     staged = {n: Dataset(f"{root}/{{version}}/staged/{n}") for n in STAGED}
     return Catalog(spark, version, raw | staged | {f"ft_{n}": Dataset(f"{root}/{{version}}/features/{n}") for n in FEATURES})
@@ -32,7 +33,8 @@ def stage(args: argparse.Namespace) -> None:
     """Raw inputs into staged tables."""
     cat = catalog(session("stage"), args.root, args.version)
     fine, keep = cat.read("raw_fine_mapping"), args.overwrite
-    cat.write("studies", cat.read("raw_studies"), keep)
+    studies = cat.read("raw_studies")
+    cat.write("studies", staging.fix_traits(studies, args.fix_study, args.fix_traits) if args.fix_study else studies, keep)
     cat.write("toploci", staging.top_loci(cat.read("raw_toploci")), keep, LOCUS[:3])
     cat.write("credsets_v2d", staging.unify_credible_sets(fine, cat.read("raw_pics")), keep, ("study_id", "lead_chrom", "lead_pos"))
     qtl = staging.prepare_qtl(fine, cat.read("raw_phenotypes"))
@@ -85,11 +87,20 @@ def features(args: argparse.Namespace) -> None:
     cat.write("ft_matrix", whole, True, LOCUS[:3])
 
 
+def between_loci(args: argparse.Namespace) -> None:
+    """Scores of genes by their interactions with genes at other loci, from the distance features."""
+    cat = catalog(session("between_loci"), args.root, args.version)
+    network = cat.read("string").where(F.col("string_score") >= args.min_string_score)
+    partners = network.select(F.col("gene_id_1").alias("gene_id"), F.col("gene_id_2").alias("partner"), F.col("string_score").alias("score"))
+    data = interlocus.with_context(cat.read("ft_distance"), cat.read("clusters"), cat.read("studies"))
+    cat.write("ft_interlocus", interlocus.interlocus_features(data, partners), args.overwrite, LOCUS[:3])
+
+
 def gold(args: argparse.Namespace) -> None:
     """Labels for the matrix, the training rows, and reports of what was lost."""
     spark = session("gold")
     read = spark.read.parquet
-    attached = labels.attach_locus(labels.parse_gold(spark.read.json(args.in_gs), args.gs_classes), read(args.in_clusters), read(args.in_toploci)).persist()
+    attached = labels.attach_locus(labels.parse_gold(spark.read.schema(GOLD_STANDARDS).json(args.in_gs), args.gs_classes), read(args.in_clusters), read(args.in_toploci)).persist()
     chosen = labels.choose_gold(attached).persist()
     labelled = labels.label_genes(read(args.in_features), chosen, read(args.in_string), args.min_string_score).persist()
     labelled.write.mode("overwrite").parquet(args.out_full)
@@ -101,7 +112,10 @@ def fit(args: argparse.Namespace) -> None:
     """Cross-validated models of every feature set, kept under out_dir."""
     spark = session("train")
     df = spark.read.parquet(args.in_path).withColumnRenamed(args.outcome_field, train.LABEL)
-    train.train_all(df, feature_sets(), args.out_dir, outer_folds=args.cv_outer_folds, inner_folds=args.cv_inner_folds, draws=args.cv_iters, seed=args.random_state)
+    if lacking := missing_features(df.columns):
+        raise ValueError(f"the matrix lacks features: {sorted(lacking)}")
+    stop = None if args.early_stop < 0 else args.early_stop
+    train.train_all(df, feature_sets(), args.out_dir, outer_folds=args.cv_outer_folds, inner_folds=args.cv_inner_folds, draws=args.cv_iters, seed=args.random_state, early_stop=stop)
 
 
 def _load(spark, pattern: str):
@@ -109,8 +123,7 @@ def _load(spark, pattern: str):
 
     models = {}
     for r in train.saved_runs(spark, pattern).collect():  # a row a model
-        run = train.Run(r["clf"], r["ft"], r["gs"], r["fold"])
-        models[run] = PipelineModel.load(f"{pattern.rstrip('*').rstrip('/')}/{run.key}/model")
+        models[train.Run(r["clf"], r["ft"], r["gs"], r["fold"])] = PipelineModel.load(f"{r['path']}/model")
     return models
 
 
@@ -166,11 +179,12 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(f"--{name}", default=default, **kind)
         return p
 
-    for run in (stage, features):
-        p = step(run, "root", version=f"{date.today():%y%m%d}")
+    by_date = {"version": f"{date.today():%y%m%d}"}
+    for run, more in ((stage, {"fix_study": None, "fix_traits": []}), (features, {}), (between_loci, {"min_string_score": 0.0})):
+        p = step(run, "root", **by_date, **more)
         p.add_argument("--overwrite", action="store_true")
     step(gold, "in_features", "in_gs", "in_toploci", "in_clusters", "in_string", "out_full", "out_training", "out_log", min_string_score=0.9, gs_classes=["High", "Medium", "Low"])
-    step(fit, "in_path", "out_dir", outcome_field="gold_standard_status", cv_outer_folds=5, cv_inner_folds=5, cv_iters=500, random_state=123)
+    step(fit, "in_path", "out_dir", outcome_field="gold_standard_status", cv_outer_folds=5, cv_inner_folds=5, cv_iters=500, random_state=123, early_stop=0.01)
     step(predict, "in_ft", "in_model_pattern", "out_pred", out_ftimp=None)
     step(validate, "in_pred", "in_ftimp", "out_plotdir", "out_report")
     step(usage, "in_model_pattern", "out")

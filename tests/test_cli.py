@@ -46,8 +46,13 @@ def raw_tables(s, root):
 def test_stage_and_features(spark, tmp_path):
     s, root = Star(spark, SF), str(tmp_path)
     raw_tables(s, root)
-    run("stage", "--root", root, "--version", "v")
+    run("stage", "--root", root, "--version", "v", "--fix_study", "S7", "--fix_traits", "EFO_fixed")
     run("features", "--root", root, "--version", "v")
+    run("between_loci", "--root", root, "--version", "v")
+    assert [r["trait_efos"] for r in spark.read.parquet(f"{root}/v/staged/studies").where("study_id = 'S7'").collect()] == [["EFO_fixed"]]
+    between = spark.read.parquet(f"{root}/v/features/interlocus")
+    assert {"interlocus_study_unweighted", "interlocus_trait_both_weighted"} <= set(between.columns)
+    assert between.count() == between.select(*LOCUS_GENE).distinct().count()
     m = spark.read.parquet(f"{root}/v/features/matrix")
     assert m.count() == m.select(*LOCUS_GENE).distinct().count() > 0
     assert {"vep_ave", "pchicJung_max", "eqtl_pics_clpp_max", "proteinAttenuation", "has_sumstats", "count_credset_95"} <= set(m.columns)

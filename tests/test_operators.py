@@ -241,3 +241,44 @@ def test_feature_sets():
     assert len(sets) == 11 and len(sets["full_model"]) == len(set(sets["full_model"])) == 53
     assert missing_features([c for c in {c for s in sets.values() for c in s} if c != "vep_ave"]) == {"vep_ave"}
     assert len(LOCUS) == 5 and LOCUS_GENE[-1] == "gene_id"
+
+
+def test_thresholds_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", None]), rng.randrange(2), rng.choice([-3.0, 0.0, 0.25, 0.2501, 0.9, 1.0, 7.5, None, rng.random()])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, label int, score double")
+    low = float("-inf")
+    for r in metrics.thresholds(df, ["g"], slices=8).collect():
+        own = [(y, low if s is None else s) for g, y, s in rows if g == r["g"]]
+        cut = low if r["score"] is None else r["score"]
+        assert (r["tp"], r["fp"]) == (sum(y == 1 and s >= cut for y, s in own), sum(y == 0 and s >= cut for y, s in own))
+        assert (r["all_p"], r["all_n"]) == (sum(y for y, _ in own), sum(1 - y for y, _ in own))
+    assert metrics.thresholds(df.where("false"), ["g"]).count() == 0
+
+
+def test_interlocus_equals_brute_force(spark):
+    import random
+
+    from genesieve.operators import interlocus
+
+    rng = random.Random(3)
+    traits = {"S1": ["t1"], "S2": ["t2", "t1"], "S3": ["t3"], "S4": None}
+    data = [(f"S{i % 4 + 1}", "1", i, "A", "G", f"G{rng.randrange(6)}", f"c{rng.randrange(5)}") for i in range(60)]
+    links = [(f"G{a}", f"G{b}", (a + 2 * b) / 10) for a in range(6) for b in range(6) if a != b and (a * b) % 3]
+    df = spark.createDataFrame([(*d, traits[d[0]]) for d in data], LOCUS_DDL + ", gene_id string, cluster_label string, trait_efos array<string>")
+    inter = spark.createDataFrame(links, "gene_id string, partner string, score double")
+    for by_trait in (False, True):
+        meets = (lambda a, b: bool(set(traits[a] or ()) & set(traits[b] or ()))) if by_trait else (lambda a, b: a == b)
+        want = {}
+        for d in data:
+            pairs = {(p, e[6], w) for g, p, w in links if g == d[5] for e in data if e[5] == p and e[6] != d[6] and meets(d[0], e[0])}
+            size = {c: len({p for p, x, _ in pairs if x == c}) for _, c, _ in pairs}
+            chosen = {p: min((size[c], c, w) for q, c, w in pairs if q == p) for p, _, _ in pairs}
+            if chosen:
+                n = len({e[6] for e in data if meets(d[0], e[0])})
+                want[d[:6]] = tuple(round(x, 9) for x in (sum(w for _, _, w in chosen.values()), sum(w / k for k, _, w in chosen.values()), sum(w / k / n for k, _, w in chosen.values())))
+        out = interlocus.interlocus_scores(df, inter, by_trait, "x").collect()
+        assert len(out) == len(want)
+        assert {tuple(r[:6]): tuple(round(r[c], 9) for c in ("x_unweighted", "x_target_weighted", "x_both_weighted")) for r in out} == want

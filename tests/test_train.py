@@ -1,0 +1,38 @@
+"""Training with search and early stopping, and what is read back of saved models."""
+
+import random
+
+from genesieve import cli
+from genesieve.ml import train
+
+DDL = "study_id string, chrom string, pos long, ref string, alt string, gene_id string, near double, gs_confidence string, gold_standard_status int"
+
+
+def labelled(spark):
+    rng, rows = random.Random(5), []
+    for i in range(240):
+        yes = int(rng.random() < 0.4)
+        near = None if rng.random() < 0.1 else yes + rng.gauss(0, 0.4)
+        rows.append(("S1", str(i % 6 + 1), i, "A", "G", f"G{i}", near, "High", yes))
+    return spark.createDataFrame(rows, DDL)
+
+
+def test_search_early_stop_and_reload(spark, tmp_path):
+    df, sets = labelled(spark), {"one": ("near",)}
+    _, models = train.train_all(df, sets, str(tmp_path), outer_folds=2, inner_folds=2, draws=2, early_stop=0.5)
+    assert len(models) == 2
+    for pattern in (f"{tmp_path}/*", f"{tmp_path}/gbt-one-*"):
+        again = cli._load(spark, pattern)
+        assert set(again) == set(models)
+    want = {(r["gene_id"], round(r["y_proba"], 9)) for r in train.held_out_predictions(df, models, sets).collect()}
+    got = {(r["gene_id"], round(r["y_proba"], 9)) for r in train.held_out_predictions(df, again, sets).collect()}
+    assert got == want and len({g for g, _ in got}) == 240
+
+
+def test_early_stop_makes_fewer_trees(spark):
+    df = labelled(spark).withColumn(train.LABEL, train.F.col(train.LABEL).cast("double"))
+    settings = {"maxDepth": 2, "maxIter": 15, "stepSize": 0.3}
+    short = train.fitted(df, ("near",), settings, 1, 2, 0.9).stages[-1].getNumTrees
+    assert short < 15 == train.fitted(df, ("near",), settings, 1, 2, None).stages[-1].getNumTrees
+    # one chromosome can't be watched and trained on at once
+    assert train.fitted(df.where("chrom = '1'"), ("near",), settings, 1, 2, 0.9).stages[-1].getNumTrees == 15
