@@ -14,6 +14,7 @@ so a frequent length is spread over tasks) and joined to the table of combinatio
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,10 +32,24 @@ from .common import even_salts, materialise, salted_rank
 PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\xff]*")
 #: The tokenizer's own split pattern, on lower-cased text.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: How a tokenizer file has to normalise and split for these two to hold; the texts of any other file are handed to the tokenizer whole.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITS = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 CACHED = 500_000
 LONGEST_CACHED = 64
 
 
+def splits_as_assumed(tokenizer: tokenizers.Tokenizer) -> bool:
+    """Whether words can be tokenised apart: the file normalises and splits as above, and its added tokens all hold ``<|``."""
+    spec = json.loads(tokenizer.to_str())
+    steps = (spec["normalizer"], spec["pre_tokenizer"], spec["post_processor"], spec["truncation"], spec["padding"])
+    added = all("<|" in token["content"] for token in spec["added_tokens"])
+    return added and steps == (NORMALIZER, {"type": "Sequence", "pretokenizers": SPLITS}, None, None, None)
+
+
 def _byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 stands for itself, other bytes for letters from U+0100 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -49,6 +64,7 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.apart = splits_as_assumed(self.tokenizer)
         self.letters = _byte_letters()
         self.old: dict[str, bytes] = {}
 
@@ -69,7 +85,7 @@ class WordIds(dict):
         return value
 
     def encode_packed(self, text: str) -> bytes:
-        if "<|" in text or not PLAIN.fullmatch(text):
+        if not self.apart or "<|" in text or not PLAIN.fullmatch(text):
             return pack(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids))
         return b"".join(map(self.__getitem__, text.lower().split()))
 

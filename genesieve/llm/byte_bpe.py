@@ -8,7 +8,8 @@ skipped, when the pair at that position no longer makes that rank. So a merge co
 the same in a pre-token of ten bytes as in one of ten million.
 
 Encodings are kept per stretch of text (white space and what follows up to the next
-white space: no match of the pattern crosses such a border), in a table of bounded size.
+white space: no match of the public pattern crosses such a border), in a table of bounded size.
+With any other pattern a text is matched as a whole.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -49,6 +51,7 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
         self.pattern = regex.compile(pattern)
+        self.by_stretch = pattern == public_tokenizers.PATTERN
         self.stretches = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
         self.packed, self.spaced = _Packed(self, ""), _Packed(self, " ")
 
@@ -147,6 +150,8 @@ class ByteBpe:
 
     def encode_packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if not self.by_stretch:
+            return b"".join(pack(array("I", self.merge(m.group().encode("utf-8")))) for m in self.pattern.finditer(text))
         if EVEN.match(text):
             first, *rest = text.split(" ")
             return self.packed[first] + b"".join(map(self.spaced.__getitem__, rest))

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from array import array
@@ -22,6 +23,23 @@ def test_words_are_tokenised_as_the_library_does():
         assert array("I", ours.encode_packed(t)).tolist() == theirs.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("change", ["case", "split", "token"])
+def test_other_tokenizer_files_get_whole_texts(tmp_path, change):
+    spec = json.load(open(PATH))
+    if change == "case":
+        spec["normalizer"]["normalizers"].pop()
+    elif change == "split":
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
+    else:
+        spec["added_tokens"][0]["content"] = "[start]"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec))
+    ours, theirs = WordIds(str(path)), tokenizers.Tokenizer.from_file(str(path))
+    assert WordIds(PATH).apart and not ours.apart
+    for t in ("It's 2024, ABC abc3 [start] x", "", "one Two\n\nThree  4", "İ漢"):
+        assert array("I", ours.encode_packed(t)).tolist() == theirs.encode(t, add_special_tokens=False).ids
+
+
 def test_fullest_equals_brute_force():
     import itertools
 

@@ -34,6 +34,15 @@ def test_very_long_pre_tokens(pair, text):
     assert pair[0].encode(text) == pair[1].encode_ordinary(text)
 
 
+@pytest.mark.parametrize("pattern", [r"[a-z]+\s+[a-z]+|\s+|.", r"(a|b)+|[^ab]", r"(?s:.{1,7})"])
+def test_other_patterns_are_matched_over_the_whole_text(pair, pattern):
+    ours, rng = ByteBpe(pair[0].ranks, pattern), random.Random(4)
+    theirs = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ours.ranks, special_tokens={})
+    for _ in range(500):
+        text = "".join(rng.choice("aab the\n 漢é") for _ in range(rng.randrange(40)))
+        assert ours.encode(text) == theirs.encode_ordinary(text)
+
+
 def test_ties_go_left():
     bpe = ByteBpe({b"a": 0, b"aa": 1, b"aaa": 2}, "a+")
     assert bpe.merge(b"aaaaa") == tiktoken.Encoding("t", pat_str="a+", mergeable_ranks=bpe.ranks, special_tokens={}).encode_ordinary("aaaaa")
