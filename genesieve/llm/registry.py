@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from .bin_packing import pack_documents
 from .byte_bpe import encode_documents
 from .exact_dedup import exact_dedup
+from .hard_negatives import mine_hard_negatives
 from .kd_shards import shard_by_tree
 from .language_id import held_out, predict, train_on
 from .license_scan import scan_licenses
+from .line_blocks import extract_pages
 from .near_dedup import near_duplicates
 from .pii import digest, find_spans, train
 from .quality_rules import apply_policy, ledger
+from .source_divergence import source_divergence
 from .url_templates import RULES, filter_urls
 
 SHARDS = 16
@@ -76,6 +79,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_policy(ledger(table(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def _op2_sql() -> str:
     longest_first = sorted(RULES, key=lambda r: (len(r.text), len(r.host), r.text), reverse=True)
     fits = [(f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r) for r in longest_first]
@@ -204,11 +219,66 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
 FROM f
 """
 
+OP11_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS row_id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS MATERIALIZED (
+  SELECT a.row_id AS a, a.vec_id AS anchor_id, b.row_id AS b, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.row_id <> b.row_id AND len(a.v) = len(b.v)
+), p AS (
+  SELECT a, anchor_id, b AS p, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, b) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.p ORDER BY score DESC, vec_id NULLS LAST, b) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS MATERIALIZED (
+  SELECT row_id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS MATERIALIZED (
+  SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT row_id) >= 10
+), c AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term
+), g AS (
+  SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) USING (lang, source)
+  LEFT JOIN (SELECT lang, count(*) AS v FROM k GROUP BY lang) USING (lang)
+), p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (total + 2 * v) AS p
+  FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), whole AS (
+  SELECT lang, sum(total) + 2 * any_value(v) AS below FROM g GROUP BY lang
+), q AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n) + 2) // any_value(below) AS q FROM c JOIN whole USING (lang) GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, (p - q) * (p - q) // (p + q) FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10
+"""
+
 
 def queries() -> dict[str, Query]:
-    found = (op1_license_scan, op2_url_templates, op3_byte_bpe, op4_pii, op5_near_dedup, op6_language_id, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules)
+    found = (
+        op1_license_scan, op2_url_templates, op3_byte_bpe, op4_pii, op5_near_dedup, op6_language_id, op7_bin_packing, op8_exact_dedup, op9_kd_shards, op10_quality_rules,
+        op11_hard_negatives, op12_line_blocks, op13_source_divergence,
+    )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_templates": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op2_url_templates": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op10_quality_rules": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op13_source_divergence": OP13_SQL}
