@@ -114,26 +114,21 @@ def fit(args: argparse.Namespace) -> None:
     df = spark.read.parquet(args.in_path).withColumnRenamed(args.outcome_field, train.LABEL)
     if lacking := missing_features(df.columns):
         raise ValueError(f"the matrix lacks features: {sorted(lacking)}")
-    stop = None if args.early_stop < 0 else args.early_stop
-    train.train_all(df, feature_sets(), args.out_dir, outer_folds=args.cv_outer_folds, inner_folds=args.cv_inner_folds, draws=args.cv_iters, seed=args.random_state, early_stop=stop)
-
-
-def _load(spark, pattern: str):
-    from pyspark.ml import PipelineModel
-
-    models = {}
-    for r in train.saved_runs(spark, pattern).collect():  # a row a model
-        models[train.Run(r["clf"], r["ft"], r["gs"], r["fold"])] = PipelineModel.load(f"{r['path']}/model")
-    return models
+    train.train_all(
+        df, feature_sets(), args.out_dir, outer_folds=args.cv_outer_folds, inner_folds=args.cv_inner_folds, draws=args.cv_iters, seed=args.random_state,
+        early_stop=args.early_stop, metric=args.eval_metric, most_trees=args.most_trees,
+    )
 
 
 def predict(args: argparse.Namespace) -> None:
     """Held-out scores of a matrix, and the models' importances."""
     spark = session("predict")
-    models, sets = _load(spark, args.in_model_pattern), feature_sets()
+    models, sets = train.saved(spark, args.in_model_pattern), feature_sets()
+    if models is None:
+        raise ValueError(f"no model matches {args.in_model_pattern}")
     train.held_out_predictions(spark.read.parquet(args.in_ft), models, sets).write.mode("overwrite").parquet(args.out_pred)
     if args.out_ftimp:
-        train.importances(spark, models, sets).write.mode("overwrite").parquet(args.out_ftimp)
+        train.importances(models, sets).write.mode("overwrite").parquet(args.out_ftimp)
 
 
 def validate(args: argparse.Namespace) -> None:
@@ -155,7 +150,7 @@ def validate(args: argparse.Namespace) -> None:
 def usage(args: argparse.Namespace) -> None:
     """How often each setting was chosen."""
     spark = session("usage")
-    write_report(metrics.parameter_usage(train.saved_runs(spark, args.in_model_pattern)), args.out, "\t")
+    write_report(metrics.parameter_usage(train.saved(spark, args.in_model_pattern).runs), args.out, "\t")
 
 
 def wide(args: argparse.Namespace) -> None:
@@ -184,7 +179,7 @@ def parser() -> argparse.ArgumentParser:
         p = step(run, "root", **by_date, **more)
         p.add_argument("--overwrite", action="store_true")
     step(gold, "in_features", "in_gs", "in_toploci", "in_clusters", "in_string", "out_full", "out_training", "out_log", min_string_score=0.9, gs_classes=["High", "Medium", "Low"])
-    step(fit, "in_path", "out_dir", outcome_field="gold_standard_status", cv_outer_folds=5, cv_inner_folds=5, cv_iters=500, random_state=123, early_stop=0.01)
+    step(fit, "in_path", "out_dir", outcome_field="gold_standard_status", cv_outer_folds=5, cv_inner_folds=5, cv_iters=500, random_state=123, early_stop=10, eval_metric="logloss", most_trees=1000)
     step(predict, "in_ft", "in_model_pattern", "out_pred", out_ftimp=None)
     step(validate, "in_pred", "in_ftimp", "out_plotdir", "out_report")
     step(usage, "in_model_pattern", "out")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genesieve.ml import folds as fold_ops
+from genesieve.ml import train
 from genesieve.operators import coloc, components, distance, evidence, interlocus, labels, matrix, metrics, staging
-from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE
+from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE, feature_sets
 from genesieve.sources.scratch import materialise
 from genesieve.sources.star import NUDGE, Star
 
@@ -318,15 +319,44 @@ def score_pivot(s: Star) -> DataFrame:
     return matrix.pivot_scores(s["predictions"], ["full_model", "dist_foot", "dist_tss"], ["S3", "S11"], "gbt", "high_medium")
 
 
+#: Reduced from the command line's defaults so that a query takes minutes: at most so many trees a model.
+MOST_TREES = 8
+
+
+def _training_rows(s: Star) -> DataFrame:
+    """The feature matrix with its labels, written once for training and scoring."""
+    return materialise(labels.label_genes(_matrix(s), labels.choose_gold(_gold(s)), s["coloc_network"]), "training")
+
+
+def _trained(s: Star) -> tuple[DataFrame, train.Trained]:
+    rows = _training_rows(s)
+    return rows, train.train_all(rows, feature_sets(), draws=1, early_stop=3, most_trees=MOST_TREES)
+
+
 def trained_scores(s: Star) -> DataFrame:
-    """Boosted trees on two feature sets, three folds, and every row scored by the model that has not seen it."""
-    from genesieve.ml import train
+    """Boosted trees on the eleven feature sets of the whole matrix, five folds, and every row scored by the models that have not seen it."""
+    rows, trained = _trained(s)
+    return train.held_out_predictions(rows, trained, feature_sets())
 
+
+def model_importances(s: Star) -> DataFrame:
+    """Importances of the features of those 55 models, from their nodes."""
+    return train.importances(_trained(s)[1], feature_sets())
+
+
+def model_search(s: Star) -> DataFrame:
+    """Scores of 20 draws of settings by 5 inner folds, for two feature sets and 5 outer folds: 1,000 models grown together."""
     rows = distance.sentinel_distances(s["loci"], s["genes"]).select(*LOCUS_GENE, "dist_foot_sentinel_nbh", "dist_tss_sentinel_nbh")
     rows = labels.label_genes(rows, labels.choose_gold(_gold(s)), s["coloc_network"])
-    sets = {"dist_foot": ("dist_foot_sentinel_nbh",), "dist_both": ("dist_foot_sentinel_nbh", "dist_tss_sentinel_nbh")}
-    _, models = train.train_all(rows, sets, outer_folds=3)
-    return train.held_out_predictions(rows, models, sets)
+    sets = {n: feature_sets()[n] for n in ("dist_foot", "dist_tss")}
+    return train.train_all(rows, sets, draws=20, early_stop=3, most_trees=MOST_TREES).search
+
+
+def model_parameters(s: Star) -> DataFrame:
+    """How often each setting was chosen by the models of one draw a feature set and fold."""
+    rows = distance.sentinel_distances(s["loci"], s["genes"]).select(*LOCUS_GENE, "dist_foot_sentinel_nbh")
+    rows = labels.label_genes(rows, labels.choose_gold(_gold(s)), s["coloc_network"])
+    return metrics.parameter_usage(train.train_all(rows, {"dist_foot": ("dist_foot_sentinel_nbh",)}, draws=5, inner_folds=3, early_stop=3, most_trees=MOST_TREES).runs)
 
 
 ALL = (
@@ -335,7 +365,7 @@ ALL = (
     dhs_features, enhancer_features, polyphen_features, tissue_evidence, interval_evidence, distance_sentinel, gene_density, distance_tags, distance_features,
     clpp_features, coloc_features, credset_size, study_flag, interlocus_by_study, interlocus_by_trait, interlocus_features, feature_matrix, gold_rank, gold_labels, training_split,
     dropout_reports, fold_assignment, heldout_scores, confusion_report, average_precision, roc_auc, pr_curve, roc_curve, calibration, completeness,
-    importance_means, parameter_usage, score_pivot, trained_scores,
+    importance_means, parameter_usage, score_pivot, trained_scores, model_importances, model_search, model_parameters,
 )
 
 

@@ -1,38 +1,209 @@
-"""Training with search and early stopping, and what is read back of saved models."""
+"""Boosted trees against a booster in plain Python; search, early stopping, one scan for all models, and what is read back."""
 
+import json
+import math
 import random
 
-from genesieve import cli
-from genesieve.ml import train
+import pytest
+from pyspark.sql import functions as F
 
-DDL = "study_id string, chrom string, pos long, ref string, alt string, gene_id string, near double, gs_confidence string, gold_standard_status int"
+from genesieve.ml import boosting, train
+from genesieve.ml.boosting import FIXED, Settings, Spec
+from genesieve.operators import metrics
 
+DDL = "study_id string, chrom string, pos long, ref string, alt string, gene_id string, near double, far double, gs_confidence string, gold_standard_status int"
 
-def labelled(spark):
-    rng, rows = random.Random(5), []
-    for i in range(240):
+
+def labelled(spark, n=240, seed=5):
+    rng, rows = random.Random(seed), []
+    for i in range(n):
         yes = int(rng.random() < 0.4)
-        near = None if rng.random() < 0.1 else yes + rng.gauss(0, 0.4)
-        rows.append(("S1", str(i % 6 + 1), i, "A", "G", f"G{i}", near, "High", yes))
-    return spark.createDataFrame(rows, DDL)
+        near = None if rng.random() < (0.05 if yes else 0.4) else round(yes + rng.gauss(0, 0.6), 2)
+        rows.append(("S1", str(i % 6 + 1), i, "A", "G", f"G{i}", near, None if rng.random() < 0.3 else round(rng.gauss(0, 1), 1), "High", yes))
+    return spark.createDataFrame(rows, DDL).repartition(3)
+
+
+class Plain:
+    """A booster over lists: every threshold and both sides for missing values are tried for each node by summing its rows."""
+
+    def __init__(self, rows, labels, edges, s):
+        self.trees, margins = [], [0.0] * len(rows)
+        for _ in range(s.n_trees):
+            p = [1 / (1 + math.exp(-m)) for m in margins]
+            g = [round((a - y) * FIXED) for a, y in zip(p, labels, strict=True)]
+            h = [round(max(a * (1 - a), 1e-6) * FIXED) for a in p]
+            tree = self.node(rows, range(len(rows)), g, h, edges, s, 0)
+            self.trees.append(tree)
+            margins = [m + self.value(tree, r) for m, r in zip(margins, rows, strict=True)]
+
+    def node(self, rows, own, g, h, edges, s, depth):
+        total_g, total_h = sum(g[i] for i in own) / FIXED, sum(h[i] for i in own) / FIXED
+        leaf = s.eta * max(-s.max_delta_step, min(s.max_delta_step, -total_g / (total_h + s.reg_lambda)))
+        best = None
+        for f, cuts in enumerate(edges) if depth < s.max_depth else ():
+            for cut in [*cuts, math.inf]:
+                for missing_left in (True, False):
+                    left = [i for i in own if (missing_left if rows[i][f] is None else rows[i][f] <= cut)]
+                    lg, lh = sum(g[i] for i in left) / FIXED, sum(h[i] for i in left) / FIXED
+                    rg, rh = total_g - lg, total_h - lh
+                    if lh < s.min_child_weight or rh < s.min_child_weight:
+                        continue
+                    gain = (lg**2 / (lh + s.reg_lambda) + rg**2 / (rh + s.reg_lambda) - total_g**2 / (total_h + s.reg_lambda)) / 2 - s.gamma
+                    if gain > 1e-9 and (best is None or gain > best[0] + 1e-12):
+                        best = (gain, f, cut, missing_left, left)
+        if best is None:
+            return leaf
+        _, f, cut, missing_left, left = best
+        inside = set(left)
+        right = [i for i in own if i not in inside]
+        return f, cut, missing_left, self.node(rows, left, g, h, edges, s, depth + 1), self.node(rows, right, g, h, edges, s, depth + 1)
+
+    def value(self, tree, row):
+        while isinstance(tree, tuple):
+            f, cut, missing_left, left, right = tree
+            tree = left if (missing_left if row[f] is None else row[f] <= cut) else right
+        return tree
+
+    def probability(self, row):
+        return 1 / (1 + math.exp(-sum(self.value(t, row) for t in self.trees)))
+
+
+def prepared(spark, df, features=("near", "far")):
+    edges = boosting.bin_edges(df, features)
+    return boosting.binned(df, features, edges, train.LABEL, train.LOCUS_GENE, [F.lit(True)]), edges
+
+
+@pytest.mark.parametrize("s", [Settings(n_trees=4, max_depth=3), Settings(n_trees=3, max_depth=2, reg_lambda=5.0, gamma=0.5, min_child_weight=4.0, eta=0.1), Settings(n_trees=2, max_depth=4, max_delta_step=0.2)])
+def test_trees_equal_a_plain_booster(spark, s):
+    df = labelled(spark)
+    table, edges = prepared(spark, df)
+    spec = Spec(("gbt", "both", "gs", "fold0=2|5"), s, (0, 1), frozenset({"2", "5"}))
+    boosting.grow(table, [spec], early_stop=0)
+    rows = [(r["chrom"], (r["near"], r["far"]), r[train.LABEL], r["gene_id"]) for r in df.collect()]
+    seen = [r for r in rows if r[0] not in ("2", "5")]
+    plain = Plain([r[1] for r in seen], [r[2] for r in seen], edges, s)
+    nodes = spark.createDataFrame(boosting.node_rows(spec, ["near", "far"], edges), boosting.NODES)
+    runs = nodes.select(*train.RUN).distinct()
+    out = train.held_out_predictions(df, train.Trained({}, nodes, runs, None), {"both": ("near", "far")})
+    got = {r["gene_id"]: r["y_proba"] for r in out.collect()}
+    want = {gene: plain.probability(values) for chrom, values, _, gene in rows if chrom in ("2", "5")}
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-9 for g in want)
+    assert any(n["missing_left"] for n in nodes.collect()) or s.gamma > 0
+
+
+def test_missing_values_go_where_they_gain(spark):
+    df = spark.createDataFrame([("S", str(i % 3 + 1), i, "A", "G", f"G{i}", None if i % 2 else float(i % 4), 0.0, "High", i % 2) for i in range(60)], DDL)
+    table, edges = prepared(spark, df)
+    spec = Spec(("a", "b", "c", "d"), Settings(n_trees=1, max_depth=1), (0,), frozenset())
+    boosting.grow(table, [spec])
+    assert not spec.trees[0].missing_left[0] and spec.trees[0].feature[0] == 0
+    assert spec.trees[0].value[1] < 0 < spec.trees[0].value[2]
+
+
+def test_waves_and_partitions_do_not_matter(spark, monkeypatch):
+    df = labelled(spark)
+    features = ("near", "far")
+    edges = boosting.bin_edges(df, features)
 
+    def trees(n_parts, room):
+        monkeypatch.setattr(boosting, "HISTOGRAM_BYTES", room)
+        table = boosting.binned(df.repartition(n_parts), features, edges, train.LABEL, train.LOCUS_GENE, [F.lit(True)])
+        specs = [Spec((i,), Settings(n_trees=3, subsample=0.6, colsample_bylevel=0.5), (0, 1), frozenset({str(i + 1)}), seed=i) for i in range(4)]
+        boosting.grow(table, specs)
+        return [[(t.feature.tolist(), t.bin.tolist(), t.value.tolist()) for t in s.trees] for s in specs]
 
-def test_search_early_stop_and_reload(spark, tmp_path):
+    assert trees(1, 1) == trees(5, 1 << 28)
+
+
+def test_early_stopping_ends_at_the_least_watched_loss(spark):
+    table, _ = prepared(spark, labelled(spark))
+    many = Settings(n_trees=30, max_depth=4, eta=0.9, min_child_weight=0.1, reg_lambda=0.1)
+    spec = Spec((0,), many, (0, 1), frozenset({"1", "2"}), frozenset({"2"}))
+    boosting.grow(table, [spec], early_stop=3)
+    assert len(spec.losses) == len(spec.trees) + 1 and spec.stopped and len(spec.trees) < 30
+    assert spec.best() == spec.losses.index(min(spec.losses)) == len(spec.trees) - 3
+    for metric in boosting.METRICS:
+        whole = Spec((0,), Settings(n_trees=2), (0, 1), frozenset({"1"}), frozenset({"1"}))
+        boosting.grow(table, [whole], early_stop=5, metric=metric)
+        assert len(whole.losses) == 3
+
+
+def jobs(spark, work):
+    group = f"g{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    out = work()
+    n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("other", "other")
+    return out, n
+
+
+def test_search_scores_and_choice(spark):
+    df = labelled(spark, 300)
+    sets = {"one": ("near",), "both": ("near", "far")}
+    few, n_few = jobs(spark, lambda: train.train_all(df, sets, outer_folds=2, inner_folds=2, draws=2, most_trees=4))
+    many, n_many = jobs(spark, lambda: train.train_all(df, sets, outer_folds=2, inner_folds=2, draws=8, most_trees=4))
+    assert n_many <= 1.5 * n_few
+    scores = many.search.toPandas()
+    assert len(scores) == 2 * 2 * 8 * 2 and scores["balanced_accuracy"].between(0, 1).all()
+    assert ((scores.tp + scores.fp + scores.tn + scores.fn) > 0).all()
+    mean = scores.groupby(["ft", "fold", "draw"]).balanced_accuracy.mean().round(9).reset_index()
+    for r in train.chosen(many.search).collect():
+        mine = mean[(mean.ft == r["ft"]) & (mean.fold == r["fold"])].sort_values(["balanced_accuracy", "draw"], ascending=[False, True])
+        assert r["draw"] == mine.iloc[0].draw and r["score"] == pytest.approx(mine.iloc[0].balanced_accuracy)
+        params = {k: float(v) for k, v in json.loads(r["params"]).items()}
+        run = next(x for x in many.runs.collect() if (x["ft"], x["fold"]) == (r["ft"], r["fold"]))
+        assert all(float(run["params"][k]) == v for k, v in params.items())
+    # a test fold's rows are in no inner fold: each run judges the rows of the other one
+    for (_, fold), rows in scores.groupby(["ft", "fold"]):
+        outside = df.where(~F.col("chrom").isin(fold.split("=")[1].split("|"))).count()
+        assert (rows.groupby("draw")[["tp", "fp", "tn", "fn"]].sum().sum(axis=1) == outside).all()
+
+
+def test_one_scan_scores_all_models(spark, monkeypatch):
+    df, sets = labelled(spark), {"one": ("near",), "both": ("near", "far"), "pairwise_x": ("far",)}
+    got = train.train_all(df, sets, outer_folds=3, draws=1, most_trees=3)
+    out = train.held_out_predictions(df, got, sets)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    rows = out.collect()
+    assert len(rows) == 2 * 240 and {r["training_ft"] for r in rows} == {"one", "both"}
+    assert all(r["chrom"] in r["training_fold"].split("=")[1].split("|") for r in rows)
+    monkeypatch.setattr(train, "MOST_NODES", 5)
+    assert sorted(map(tuple, train.held_out_predictions(df, got, sets).collect())) == sorted(map(tuple, rows))
+
+
+def test_saved_models_are_loaded_not_trained(spark, tmp_path):
     df, sets = labelled(spark), {"one": ("near",)}
-    _, models = train.train_all(df, sets, str(tmp_path), outer_folds=2, inner_folds=2, draws=2, early_stop=0.5)
-    assert len(models) == 2
-    for pattern in (f"{tmp_path}/*", f"{tmp_path}/gbt-one-*"):
-        again = cli._load(spark, pattern)
-        assert set(again) == set(models)
-    want = {(r["gene_id"], round(r["y_proba"], 9)) for r in train.held_out_predictions(df, models, sets).collect()}
-    got = {(r["gene_id"], round(r["y_proba"], 9)) for r in train.held_out_predictions(df, again, sets).collect()}
-    assert got == want and len({g for g, _ in got}) == 240
-
-
-def test_early_stop_makes_fewer_trees(spark):
-    df = labelled(spark).withColumn(train.LABEL, train.F.col(train.LABEL).cast("double"))
-    settings = {"maxDepth": 2, "maxIter": 15, "stepSize": 0.3}
-    short = train.fitted(df, ("near",), settings, 1, 2, 0.9).stages[-1].getNumTrees
-    assert short < 15 == train.fitted(df, ("near",), settings, 1, 2, None).stages[-1].getNumTrees
-    # one chromosome can't be watched and trained on at once
-    assert train.fitted(df.where("chrom = '1'"), ("near",), settings, 1, 2, 0.9).stages[-1].getNumTrees == 15
+    first = train.train_all(df, sets, str(tmp_path), outer_folds=2, draws=1, most_trees=3, early_stop=2)
+    assert first.runs.count() == 2
+    kept = sorted(map(str, first.nodes.collect()))
+    again = train.train_all(df, sets | {"both": ("near", "far")}, str(tmp_path), outer_folds=2, draws=1, most_trees=3, early_stop=2)
+    assert again.runs.count() == 4 and sorted(map(str, again.nodes.where("ft = 'one'").collect())) == kept
+    one = train.saved(spark, f"{tmp_path}/gbt-one-*")
+    assert one.runs.count() == 2 and train.saved(spark, f"{tmp_path}/xyz*") is None
+    used = {(r["parameter"], r["value"]): r["n"] for r in metrics.parameter_usage(again.runs).collect()}
+    assert sum(n for (p, _), n in used.items() if p == "max_depth") == 4
+
+
+def test_importances_are_sums_over_nodes(spark):
+    df, sets = labelled(spark), {"both": ("near", "far")}
+    got = train.train_all(df, sets, outer_folds=2, draws=0, most_trees=4)
+    gains = {}
+    for n in got.nodes.collect():
+        if n["feature"]:
+            gains.setdefault((n["fold"], n["feature"]), []).append(n["gain"])
+    rows = train.importances(got, sets).collect()
+    assert len(rows) == 4
+    for r in rows:
+        mine = gains.get((r["fold"], r["feature"]), [])
+        means = {f: sum(v) / len(v) for (fold, f), v in gains.items() if fold == r["fold"]}
+        assert r["splits"] == len(mine) and r["total_gain"] == pytest.approx(sum(mine))
+        assert r["importance"] == pytest.approx(means.get(r["feature"], 0) / sum(means.values()))
+
+
+def test_no_positives_and_empty(spark):
+    df = labelled(spark).withColumn(train.LABEL, F.lit(0))
+    got = train.train_all(df, {"one": ("near",)}, outer_folds=2, draws=2, inner_folds=2, most_trees=2, early_stop=2)
+    # all chromosomes fall in the first fold, so its model has no row to learn from and scores 0.5
+    assert got.runs.count() == 2 and {r["y_proba"] for r in train.held_out_predictions(df, got, {"one": ("near",)}).collect()} == {0.5}
+    none = train.train_all(df.limit(0), {"one": ("near",)}, outer_folds=2, draws=1, most_trees=2)
+    assert train.held_out_predictions(df.limit(0), none, {"one": ("near",)}).count() == 0
