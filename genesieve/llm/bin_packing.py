@@ -177,15 +177,16 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, e
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids if ``keep_ids``).
 
     A null text counts as empty and still has the end id. Only documents longer than
-    ``capacity`` are cut. Rows that repeat an id are packed each; extra columns are
-    ignored; an empty table gives an empty result.
+    ``capacity`` are cut, whatever their length. Rows that repeat an id, or have none, are packed each; pieces of equal lengths are
+    placed in the order in which they lie in the table of pieces; extra columns are ignored; an empty table gives an empty result.
     """
-    pieces = materialise(tokenise_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, keep_ids), "pieces")
+    pieces = tokenise_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, keep_ids)
+    pieces = materialise(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``capacity`` rows
     rows = plan_bins(counts, capacity)
     places = docs.sparkSession.createDataFrame(rows, "length long, _from long, _to long, _per long, _bin long, _offset long")
     salts = even_salts(max(counts.values(), default=1))
-    ranked = salted_rank(pieces, ["length"], [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], F.xxhash64("doc_id", "piece"), salts, "_rank")
+    ranked = salted_rank(pieces, ["length"], [F.col("_row")], F.xxhash64("_row"), salts, "_rank")
     # the table of places is bounded by the capacity (see above), not by the corpus
     placed = ranked.join(F.broadcast(places), "length").where("_rank >= _from and _rank < _to")
     within = F.col("_rank") - F.col("_from")

@@ -13,7 +13,7 @@ Groups heavier than a hundredth of a shard are "atoms": there are at most 100 pe
 shard. They are laid on the lighter side of each split first, and the median of
 the remaining light groups balances them, so a large group of copies stays in one
 shard without upsetting the sizes. A group larger than a shard is cut into
-pieces by a hash of doc_id, each an atom of its own: only such groups span shards.
+pieces by a hash of the row's number, so null and repeated ids are dealt like others; each piece is an atom of its own: only such groups span shards.
 
 Built-in SQL expressions only.
 """
@@ -62,7 +62,7 @@ def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
         F.col(source_col).cast("string").alias("_source"),
         F.col(lang_col).cast("string").alias("_lang"),
     )
-    rows = materialise(rows, "kd-rows")
+    rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "kd-rows")
     groups = rows.groupBy("_same").agg(F.sum("size").alias("w"), F.min("_source").alias("source"), F.min("_lang").alias("lang"), F.first("size").cast("double").alias("size"), F.count(F.lit(1)).alias("n"))
     # a 24-bit number from the text's digest: breaks ties between groups the same way each time
     groups = groups.withColumns({"size": F.log2("size"), "hash": F.conv(F.substring(F.hex("_same"), 1, 6), 16, 10).cast("double"), "_tie": F.conv(F.substring(F.hex("_same"), 7, 9), 16, 10).cast("long")})
@@ -98,10 +98,10 @@ def shard_by_tree(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     # a row of a cut group goes with one piece of it; the piece is part of the join's key
     n_pieces = cut.where("_pieces > 1").select("_same", "_pieces").distinct()
     dealt = rows.join(F.broadcast(n_pieces), "_same", "left")  # fewer than shards / CUT_SHARE rows
-    dealt = dealt.withColumn("_piece", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_pieces")), F.lit(0)).cast("int")).drop("_pieces")
-    out = materialise(dealt.join(where.drop("_pieces"), ["_same", "_piece"]).select("doc_id", "size", "text_crc32", "shard"), "kd-placed")
+    dealt = dealt.withColumn("_piece", F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_pieces")), F.lit(0)).cast("int")).drop("_pieces")
+    out = materialise(dealt.join(where.drop("_pieces"), ["_same", "_piece"]).select("_row", "doc_id", "size", "text_crc32", "shard"), "kd-placed")
     salts = even_salts(out.count() // shards)
-    return salted_rank(out, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.xxhash64("doc_id"), salts, "slot").select("doc_id", "size", "text_crc32", "shard", "slot")
+    return salted_rank(out, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("_row")], F.xxhash64("_row"), salts, "slot").select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def _ordinals(groups: DataFrame, dim: str) -> DataFrame:

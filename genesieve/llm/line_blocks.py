@@ -60,7 +60,7 @@ def is_furniture(name: str, attributes: dict[str, str], in_article: bool) -> boo
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or HIDDEN_STYLE.search(attributes.get("style", "")):
         return True
     named = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
-    for one in CAMEL.sub("-", named).lower().split():
+    for one in f"{named} {CAMEL.sub('-', named)}".lower().split():
         words = WORDS.findall(one)
         if any(w in NAMED and (i == 0 or words[i - 1] not in LAYOUT) for i, w in enumerate(words)):
             return True

@@ -1,6 +1,8 @@
 import hashlib
 import math
 import random
+
+import pytest
 import zlib
 
 from genesieve.llm import kd_shards
@@ -48,6 +50,18 @@ def test_a_group_larger_than_a_shard_is_cut(spark):
     assert max(load.values()) < 1.1 * mean and min(load.values()) > 0.9 * mean
 
 
+@pytest.mark.parametrize("ids", ["null", "same", "mixed"])
+def test_a_cut_group_is_even_whatever_its_ids(spark, ids):
+    of = {"null": lambda i: None, "same": lambda i: 7, "mixed": lambda i: [None, 7, i][i % 3]}[ids]
+    copy = "a text that very many rows hold " * 8
+    rows = [(of(i), copy, "en", "s", 1) for i in range(3000)] + [(i, copy[:-6] + f"{i:06d}", "en", "s", 1) for i in range(3000)]
+    out = shard_by_tree(spark.createDataFrame(rows, DOCS), 4).collect()
+    sizes = [sum(r["size"] for r in out if r["shard"] == k) for k in range(4)]
+    assert len(out) == 6000 and max(abs(s - sum(sizes) / 4) for s in sizes) < 0.05 * sum(sizes) / 4
+    for k in range(4):
+        assert sorted(r["slot"] for r in out if r["shard"] == k) == list(range(sum(r["shard"] == k for r in out)))
+
+
 def test_odd_rows(spark):
     out = shard_by_tree(odd(spark, ("size", "shard", "w", "_same", "hash", "_piece")), 4).collect()
     sound(out, 4)

@@ -1,0 +1,111 @@
+"""Main text of generated pages whose article is known, odd markup, and the query on the test tables."""
+
+import html
+import os
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from genesieve.llm import registry
+from genesieve.llm.line_blocks import extract_pages, main_text, strip_markup
+
+SF = "/root/testdata/sf0.001"
+DDL = "page_id long, url string, html string"
+WORDS = "alpha beta Gamma delta & < > été 漢字 epsilon zeta eta theta iota kappa".split()
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def escaped(rng, text):
+    out = html.escape(text)
+    return out.replace("é", rng.choice(("&eacute;", "&#233;", "&#xE9;", "é"))).replace(" ", rng.choice((" ", "\n  ", "\t")))
+
+
+FURNITURE = (
+    lambda r: f"<nav class=x><ul><li><a href='/a'>{sentence(r, 2)}</a></li><li><a href=/b>{sentence(r, 3)}</a></li></ul></nav>",
+    lambda r: f"<header><h2>{sentence(r, 4)}</h2><p>{sentence(r, 30)}</p></header>",
+    lambda r: f"<footer>&copy; {sentence(r, 25)}</footer>",
+    lambda r: f"<aside><h3>{sentence(r, 3)}</h3><p>{sentence(r, 40)}</p></aside>",
+    lambda r: f'<div class="ad-banner"><div>{sentence(r, 30)}</div></div>',
+    lambda r: f'<div id="cookie-notice"><p>{sentence(r, 30)}</p><button>OK</button></div>',
+    lambda r: f"<form action=/s><label>{sentence(r, 6)}</label><input name=q><textarea>{sentence(r, 40)}</textarea></form>",
+    lambda r: f'<section class="comments"><h3>{sentence(r, 2)}</h3><article class="comment"><p>{sentence(r, 60)}</p></article></section>',
+    lambda r: f"<script>var t = '</p><p>{sentence(r, 30)}';</script><style>p {{ }}</style><noscript>{sentence(r, 40)}</noscript>",
+    lambda r: f"<!-- {sentence(r, 30)} <p> -->",
+    lambda r: f'<div role="complementary">{sentence(r, 30)}</div><p hidden>{sentence(r, 30)}</p>',
+    lambda r: f'<div class="sideBar"><p>{sentence(r, 50)}</p></div>',
+)
+
+
+def page(rng, marked):
+    blocks, body = [], []
+    for i in range(rng.randrange(1, 8)):
+        text = sentence(rng, rng.randrange(1, 60) if marked or i else rng.randrange(40, 80))
+        blocks.append(text)
+        shown = escaped(rng, text)
+        first, rest = [*re.split(r"\s+", shown, maxsplit=1), ""][:2]
+        shown = rng.choice((shown, f"<b>{first}</b>" + (f" <i>{rest}" if rest else ""), f'<a href="/x">{first}</a>{" " + rest if rest else ""}'))
+        body.append(rng.choice(("<p>{}</p>", "<p>{}", "<br>{}<br>", "<h2>{}</h2>", "<ul><li>{}</ul>") if marked else ("<p>{}</p>", "<h2>{}</h2>")).format(shown))
+        if marked and rng.random() < 0.3:
+            body.append(rng.choice(FURNITURE[2:])(rng))
+    around = [f(rng) for f in rng.sample(FURNITURE, 5)]
+    inner = "".join(body)
+    inner = rng.choice(("<article>{}</article>", "<main><article class=post>{}</article></main>", "<main>{}</main>", '<div role="main">{}</div>')).format(inner) if marked else f"<div class=content>{inner}</div>"
+    end = rng.choice(("</body></html>", ""))
+    return f"<!DOCTYPE html><html><head><title>{sentence(rng, 5)}</title></head><body>{''.join(around[:3])}{inner}{''.join(around[3:])}{end}", " ".join(blocks)
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_generated_pages(marked):
+    rng = random.Random(9)
+    for _ in range(600):
+        text, want = page(rng, marked)
+        assert main_text(text) == " ".join(want.split()), text
+
+
+def test_text_decides_without_any_mark():
+    menu = "<div><a href=/1>One</a> <a href=/2>Two</a> <a href=/3>Three more links of this menu</a></div>" * 3
+    body = "".join(f"<p>{'words of the article, ' * 12}{i}</p>" for i in range(5))
+    foot = "<div></div><div></div><div></div><div><div>All rights reserved</div></div>"
+    got = main_text(f"<html><body>{menu}<div></div><div></div><div>{body}</div>{foot}</body></html>")
+    assert got == " ".join(" ".join(f"{'words of the article, ' * 12}{i}".split()) for i in range(5))
+
+
+def test_broken_markup():
+    assert main_text("<article>a < b and c<d> e &amp f &am; &#x41;&nosuch;</article>") == "a < b and c e & f &am; A&nosuch;"
+    assert main_text('<div class="ad">never closed<article><p>kept</article>') == "kept"
+    assert main_text('<article>one<a href="x>two</article><p>three') != ""
+    assert main_text("<p>only a text") == "only a text" and main_text("plain") == "plain" and main_text("") == main_text("<p></p>") == ""
+    assert main_text("<article>a<script>never closed <p>b") == "a"
+    assert main_text("<article>fo<b>o</b> <i>b</i>ar<p>x</p>y</article>") == "foo bar x y"
+    assert main_text("<body class='has-sidebar'><div class='with-nav'>" + "text " * 50 + "</div>").startswith("text text")
+
+
+def test_time_is_linear_in_the_page():
+    for part in ('<a "', "<div class='x'>", "<p>a ", "<", "<b><i></b>", "<!--", "<script>", "</div>", '<a href="x" ', "<nav><p>"):
+        assert isinstance(main_text(part * 60_000), str)
+    assert len(main_text("<article><p>" + "word " * 400_000 + "</article>")) == 5 * 400_000 - 1
+    assert len(strip_markup("<p>a" * 1000)) == 1000
+
+
+def test_rows(spark):
+    rows = [(1, "u", "<article>x 漢</article>"), (1, "u", "<article>x 漢</article>"), (None, None, None), (3, "v", ""), (4, None, "<nav>menu</nav>")]
+    df = spark.createDataFrame(rows, DDL).withColumns({"text": F.lit("clash"), "n_chars": F.lit("clash")})
+    got = sorted(map(str, (tuple(r) for r in extract_pages(df).collect())))
+    assert got == sorted(map(str, [(1, "u", "x 漢", 3), (1, "u", "x 漢", 3), (None, None, "", 0), (3, "v", "", 0), (4, None, "", 0)]))
+    assert extract_pages(df.limit(0)).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_query_finds_the_articles(spark):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    rows = registry.queries()["op12_line_blocks"](spark, SF).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        inside = re.search("<article>(.*?)</article>", pages[r["page_id"]] or "<article></article>", re.S).group(1)
+        plain = html.unescape(re.sub("<[^>]*>", "", re.sub("</?(?:p|h1|br)[^>]*>", "\n", inside)))
+        assert r["text"] == " ".join(plain.split()) and r["n_chars"] == len(r["text"])
