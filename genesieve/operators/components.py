@@ -1,6 +1,6 @@
 """Clusters of loci that share a tag: connected components by alternating stars.
 
-Loci are nodes, named by a canonical string; each tag links the loci that hold it to the
+Loci are nodes, numbered in the order of their names; each tag links the loci that hold it to the
 least of them (a star, never all pairs). Alternating large and small star steps run until nothing changes,
 each written to the shared folder so that lineage stays short.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from genesieve.schema import LOCUS, TAG
 from genesieve.sources.scratch import compact, materialise
@@ -58,11 +59,23 @@ def locus_name() -> Column:
     return F.concat_ws(":", *LOCUS)
 
 
+def numbered_loci(loci: DataFrame) -> DataFrame:
+    """Every locus once, with its name and a 64-bit number; numbers have the order of names. Written, since the numbers are given as rows lie."""
+    named = loci.select(*LOCUS).distinct().withColumn("name", locus_name()).orderBy("name")
+    return materialise(named.withColumn("id", F.monotonically_increasing_id()), "loci")
+
+
 def cluster_loci(loci: DataFrame, tags: DataFrame) -> DataFrame:
-    """Every locus with its cluster: the least locus name of its component, or ``cluster_unknown`` if it has no tag."""
-    known = tags.join(loci.select(*LOCUS).distinct(), [*LOCUS], "left_semi")
-    held = known.select(F.concat_ws(":", *TAG).alias("tag"), locus_name().alias("locus")).distinct()
-    star = held.groupBy("tag").agg(F.min("locus").alias("least"))
-    found = components(held.join(star, "tag").select(F.col("locus").alias("u"), F.col("least").alias("v")).distinct())
-    named = loci.select(*LOCUS).distinct().withColumn("node", locus_name())
-    return named.join(found, "node", "left").select(*LOCUS, F.coalesce("component", F.lit(UNKNOWN)).alias("cluster_label"))
+    """Every locus with its cluster: the least locus name of its component, or ``cluster_unknown`` if it has no tag.
+
+    The graph is one of numbers; names come back at the end. As numbers have the names' order, the least of both is the same locus.
+    """
+    names = numbered_loci(loci)
+    held = tags.join(names, [*LOCUS]).select(*TAG, "id")
+    # a tag links its loci to the least of them
+    least = F.min("id").over(Window.partitionBy(*TAG))
+    links = materialise(held.select(F.col("id").alias("u"), least.alias("v")).distinct(), "graph-edges")
+    found = linked_components(links)
+    tagged = links.select("u").distinct().join(found, F.col("u") == F.col("node"), "left").select(F.col("u").alias("id"), F.coalesce("component", "u").alias("least"))
+    label = names.select(F.col("id").alias("least"), F.col("name").alias("cluster_label"))
+    return names.join(tagged, "id", "left").join(label, "least", "left").select(*LOCUS, F.coalesce("cluster_label", F.lit(UNKNOWN)).alias("cluster_label"))

@@ -250,7 +250,7 @@ def test_thresholds_equal_brute_force(spark):
     rows = [(rng.choice(["a", None]), rng.randrange(2), rng.choice([-3.0, 0.0, 0.25, 0.2501, 0.9, 1.0, 7.5, None, rng.random()])) for _ in range(400)]
     df = spark.createDataFrame(rows, "g string, label int, score double")
     low = float("-inf")
-    for r in metrics.thresholds(df, ["g"], slices=8).collect():
+    for r in metrics.thresholds(df, ["g"]).collect():
         own = [(y, low if s is None else s) for g, y, s in rows if g == r["g"]]
         cut = low if r["score"] is None else r["score"]
         assert (r["tp"], r["fp"]) == (sum(y == 1 and s >= cut for y, s in own), sum(y == 0 and s >= cut for y, s in own))
@@ -258,6 +258,53 @@ def test_thresholds_equal_brute_force(spark):
     assert metrics.thresholds(df.where("false"), ["g"]).count() == 0
 
 
+def test_close_scores_are_ranked_by_several_tasks(spark):
+    # all scores lie inside 1e-4 of each other, and one group holds nearly all of them
+    df = spark.range(4000).select(F.when(F.col("id") < 3900, "big").otherwise("small").alias("g"), (F.col("id") % 3 == 0).cast("int").alias("label"), (0.5 + F.col("id") / 4e7).alias("score"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = metrics.thresholds(df, ["g"])
+        rows = sorted(((r["g"], -r["score"], r["tp"], r["fp"]) for r in out.collect()))
+        ranges = scored_ranges(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tp = fp = 0
+    for (g, _, got_tp, got_fp), i in zip(rows, [*range(3899, -1, -1), *range(3999, 3899, -1)], strict=True):
+        if i in (3899, 3999):
+            tp = fp = 0
+        tp, fp = tp + (i % 3 == 0), fp + (i % 3 != 0)
+        assert (g, got_tp, got_fp) == ("big" if i < 3900 else "small", tp, fp)
+    assert len(ranges) == 4 and max(ranges) < 2000
+
+
+def scored_ranges(spark):
+    """Rows by range of the scores written last."""
+    import glob
+    import os
+
+    from genesieve.sources.scratch import scratch_root
+
+    last = max(glob.glob(f"{scratch_root(spark).removeprefix('file://')}/scores-*"), key=os.path.getmtime)
+    return [r["count"] for r in spark.read.parquet(last).groupBy("_range").count().collect()]
+
+
+def test_hub_genes_are_spread_over_cells(spark, monkeypatch):
+    import random
+
+    rng = random.Random(6)
+    rows = [(f"S{rng.randrange(4)}", "1", i, "A", "G", "HUB" if i % 3 == 0 else f"G{rng.randrange(30)}", f"c{rng.randrange(12)}") for i in range(300)]
+    df = spark.createDataFrame(rows, LOCUS_DDL + ", gene_id string, cluster_label string").withColumn("trait_efos", F.transform(F.sequence(F.lit(0), F.length("study_id")), lambda x: F.concat(F.lit("T"), (x + F.substring("study_id", 2, 1).cast("int")).cast("string"))))
+    inter = spark.createDataFrame([(a, b, rng.randrange(1, 9) / 10) for a in ("HUB", "G1", "G2") for b in [f"G{i}" for i in range(30)]], "gene_id string, partner string, score double")
+
+    def both():
+        return [sorted(str(tuple(r)) for r in interlocus.interlocus_scores(df, inter, t, "x").selectExpr("study_id", "pos", "gene_id", "round(x_unweighted, 9)", "round(x_both_weighted, 9)", "x_partners").collect()) for t in (True, False)]
+
+    want = both()
+    monkeypatch.setattr(interlocus, "CELL_PLACES", 20)
+    monkeypatch.setattr(interlocus, "CELL_SOURCES", 5)
+    assert both() == want and all(want)
+
+
 def test_interlocus_equals_brute_force(spark):
     import random
 
