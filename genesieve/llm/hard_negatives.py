@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -61,14 +62,14 @@ def angles_to(vectors: np.ndarray, norms: np.ndarray, refs: np.ndarray) -> np.nd
 
 
 def score_bounds(angle: np.ndarray, norm: float, angles: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(lower, upper) of the scores of one vector with each row."""
+    """(lower, upper) of the scores of one vector with each row; ``angles`` is references x rows."""
     scale = norm * norms
     slack = SCORE_SLACK * scale + 1
-    if not angles.shape[1]:
+    if not len(angles):
         return -scale - slack, scale + slack
-    near = np.abs(angles - angle).max(1) - ANGLE_SLACK
-    apart = angles + angle
-    far = np.minimum(apart, 2 * np.pi - apart).min(1) + ANGLE_SLACK
+    near = np.abs(angles - angle[:, None]).max(0) - ANGLE_SLACK
+    # the smaller way round of t1 + t2 is pi - |pi - (t1 + t2)|
+    far = np.pi - np.abs(np.pi - (angles + angle[:, None])).max(0) + ANGLE_SLACK
     return scale * np.cos(np.minimum(far, np.pi)) - slack, scale * np.cos(np.maximum(near, 0)) + slack
 
 
@@ -84,7 +85,7 @@ class _Side:
         self.null = np.array([i is None for i in self.id], dtype=bool)
         self.whole = np.frombuffer(b"".join(table["vector"].to_pylist()), dtype="<i8").reshape(n, -1)
         self.norm = table["norm"].to_numpy()
-        self.angles = np.frombuffer(b"".join(table["angles"].to_pylist()), dtype="<f4").reshape(n, -1).astype(np.float64)
+        self.angles = np.ascontiguousarray(np.frombuffer(b"".join(table["angles"].to_pylist()), dtype="<f4").reshape(n, -1).T.astype(np.float64))  # references x rows
         self.floats = self.whole.astype(np.float64)
         self.largest = float(np.abs(self.floats).max(initial=0))
 
@@ -129,7 +130,7 @@ def _positives(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 if not len(at):
                     continue
                 if len(at) > n:
-                    low, high = score_bounds(anchors.angles[i], anchors.norm[i], rows.angles[at], rows.norm[at])
+                    low, high = score_bounds(anchors.angles[:, i], anchors.norm[i], rows.angles[:, at], rows.norm[at])
                     at = at[high >= np.partition(low, -n)[-n]]
                 score = _scores(anchors, i, rows, at)
                 out += [(anchors.row[i], anchors.id[i], rows.row[at[j]], rows.id[at[j]], score[j]) for j in _first(rows, at, score, n)]
@@ -145,19 +146,19 @@ def _negatives(n: int, least_share: int) -> Callable[[pa.Table, pa.Table], pa.Ta
         out: list[tuple] = []
         if len(row_table) and len(anchor_table):
             rows, anchors = _Side(row_table), _Side(anchor_table)
-            by_angle = [np.argsort(rows.angles[:, r], kind="stable") for r in range(rows.angles.shape[1])]
-            sorted_angles = [rows.angles[o, r] for r, o in enumerate(by_angle)]
+            by_angle = [np.argsort(a, kind="stable") for a in rows.angles]
+            sorted_angles = [a[o] for a, o in zip(rows.angles, by_angle, strict=True)]
             longest = float(rows.norm.max())
             for i, positives in enumerate(anchor_table["positives"].to_pylist()):
                 wanted = [(p["row"], p["vec_id"], p["score"]) for p in positives if p["score"] >= 0]
                 if not wanted:
                     continue
                 floor = min(-(-least_share * s // 100) for _, _, s in wanted)
-                at = _within(anchors.angles[i], anchors.norm[i] * longest, floor, by_angle, sorted_angles, len(rows.row))
+                at = _within(anchors.angles[:, i], anchors.norm[i] * longest, floor, by_angle, sorted_angles, len(rows.row))
                 at = at[rows.label[at] != anchors.label[i]]
                 if not len(at):
                     continue
-                low, high = score_bounds(anchors.angles[i], anchors.norm[i], rows.angles[at], rows.norm[at])
+                low, high = score_bounds(anchors.angles[:, i], anchors.norm[i], rows.angles[:, at], rows.norm[at])
                 overlaps = np.zeros(len(at), bool)
                 for _, _, s in wanted:
                     overlaps |= (high >= -(-least_share * s // 100)) & (low <= s)
@@ -204,17 +205,15 @@ def prepared(embeddings: DataFrame, id_col: str, vector_col: str, label_col: str
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors, norms, angles = [], [], []
-            for values in batch.column(3):
-                whole = np.array(values.as_py(), dtype="<i8")
-                dims = len(whole)
-                one = whole.astype(np.float64)[None]
-                norm = np.linalg.norm(one, axis=1)
-                vectors.append(whole.tobytes())
-                norms.append(float(norm[0]))
-                angles.append(angles_to(one, norm, refs.get(dims, np.zeros((0, dims))))[0].astype("<f4").tobytes())
-            columns = [*[batch.column(k) for k in range(3)], pa.array(vectors, pa.binary()), pa.array(norms, pa.float64()), pa.array(angles, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "vec_id", "label", "vector", "norm", "angles"])
+            lengths = pc.list_value_length(batch.column(3)).to_numpy()
+            for dims in np.unique(lengths):
+                part = batch.take(pa.array(np.flatnonzero(lengths == dims)))
+                whole = part.column(3).flatten().to_numpy().astype("<i8").reshape(part.num_rows, dims)
+                floats = whole.astype(np.float64)
+                norms = np.linalg.norm(floats, axis=1)
+                angles = angles_to(floats, norms, refs.get(int(dims), np.zeros((0, dims)))).astype("<f4")
+                packed = [pa.array([v.tobytes() for v in of], pa.binary()) for of in (whole, angles)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], packed[0], pa.array(norms), packed[1]], names=["row", "vec_id", "label", "vector", "norm", "angles"])
 
     ready = used.select("row", "vec_id", "label", "whole").mapInArrow(work, "row long, vec_id long, label long, vector binary, norm double, angles binary")
     return materialise(ready.withColumn("dims", (F.length("vector") / 8).cast("int")), "angles")

@@ -91,7 +91,7 @@ def test_bounds_hold(spark):
     norms = np.linalg.norm(whole, axis=1)
     stored = angles_to(whole, norms, reference_directions(whole, 6)).astype("<f4").astype(np.float64)
     for i in range(40):
-        low, high = score_bounds(stored[i], norms[i], stored, norms)
+        low, high = score_bounds(stored[i], norms[i], stored.T, norms)
         true = whole @ whole[i]
         assert (low <= true).all() and (true <= high).all()
         assert (high - low).mean() < 1.9 * norms[i] * norms.mean() + 3
