@@ -11,7 +11,7 @@ from genesieve.ml import train
 from genesieve.operators import components, evidence, interlocus, labels, matrix, metrics, staging
 from genesieve.operators.coloc import clpp_features, coloc_features
 from genesieve.operators.distance import distance_features
-from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE, TAG, feature_sets, missing_features
+from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE, TAG, feature_sets, missing_features, sort_order
 from genesieve.session import session
 from genesieve.sources.catalog import FINE_MAPPING, GENES, GOLD_STANDARDS, PHENOTYPES, PROTEIN_ATTENUATION, STRING_ALIASES, STRING_LINKS, SYNONYMS, VARIANT_TO_GENE, Catalog, Dataset, csv, write_report
 
@@ -19,14 +19,15 @@ STAGED = ("studies", "toploci", "credsets_v2d", "credsets_qtl", "genes", "coloc"
 FEATURES = ("distance", "vep", "polyphen", "dhs_prmtr", "enhc_tss", "pchicJung", "clpp", "coloc", "interlocus", "matrix")
 
 
-def catalog(spark, root: str, version: str) -> Catalog:
-    """Raw tables under <root>/raw, staged ones under <root>/<version>/staged, features under <root>/<version>/features."""
+def catalog(spark, root: str, version: str, buckets: int = 0) -> Catalog:
+    """Raw tables under <root>/raw, staged ones under <root>/<version>/staged, features under <root>/<version>/features, with ``buckets`` in as many buckets by (locus, gene)."""
     raw = {f"raw_{n}": Dataset(f"{root}/raw/{n}") for n in ("studies", "toploci", "pics", "coloc", "contacts", "annotation")}
     json = {"fine_mapping": FINE_MAPPING, "phenotypes": PHENOTYPES, "v2g": VARIANT_TO_GENE, "genes": GENES, "synonyms": SYNONYMS}
     raw |= {f"raw_{n}": Dataset(f"{root}/raw/{n}", "json", schema) for n, schema in json.items()}
     raw |= {"raw_links": csv(f"{root}/raw/links", STRING_LINKS, " "), "raw_aliases": csv(f"{root}/raw/aliases", STRING_ALIASES, "\t"), "raw_attenuation": csv(f"{root}/raw/attenuation", PROTEIN_ATTENUATION)}
     staged = {n: Dataset(f"{root}/{{version}}/staged/{n}") for n in STAGED}
-    return Catalog(spark, version, raw | staged | {f"ft_{n}": Dataset(f"{root}/{{version}}/features/{n}") for n in FEATURES})
+    layout = {"buckets": (buckets, tuple(sort_order(LOCUS_GENE)))} if buckets else {}
+    return Catalog(spark, version, raw | staged | {f"ft_{n}": Dataset(f"{root}/{{version}}/features/{n}", **({} if n in ("interlocus", "matrix") else layout)) for n in FEATURES})
 
 
 def stage(args: argparse.Namespace) -> None:
@@ -66,7 +67,7 @@ def _scored(df, score: str):
 
 def features(args: argparse.Namespace) -> None:
     """Staged tables into feature tables and the matrix."""
-    cat = catalog(session("features"), args.root, args.version)
+    cat = catalog(session("features"), args.root, args.version, args.buckets)
     tags, qtl, keep = _tags(cat), cat.read("credsets_qtl"), args.overwrite
     loci = cat.read("toploci")
     interval = cat.read("interval")
@@ -78,12 +79,12 @@ def features(args: argparse.Namespace) -> None:
         "pchicJung": evidence.tissue_features(evidence.tags_in_contacts(tags, cat.read("contacts").withColumnRenamed("bio_feature", "tissue")), EVIDENCE_COLUMNS["pchicJung"]),
         "clpp": clpp_features(tags, qtl),
         "coloc": coloc_features(cat.read("coloc"), qtl),
-        "distance": distance_features(loci, tags, cat.read("genes")),
+        "distance": matrix.with_helpers(distance_features(loci, tags, cat.read("genes")), [staging.credible_set_size(tags)], [staging.study_flags(cat.read("studies"))], [cat.read("attenuation")]),
     }
     for name, df in made.items():
         cat.write(f"ft_{name}", df, keep, LOCUS[:3])
     families = [cat.read(f"ft_{n}") for n in made if n != "distance"]
-    whole = matrix.assemble(cat.read("ft_distance"), families, [staging.credible_set_size(tags)], [staging.study_flags(cat.read("studies"))], [cat.read("attenuation")])
+    whole = matrix.assemble(cat.read("ft_distance"), families)
     cat.write("ft_matrix", whole, True, LOCUS[:3])
 
 
@@ -175,7 +176,7 @@ def parser() -> argparse.ArgumentParser:
         return p
 
     by_date = {"version": f"{date.today():%y%m%d}"}
-    for run, more in ((stage, {"fix_study": None, "fix_traits": []}), (features, {}), (between_loci, {"min_string_score": 0.0})):
+    for run, more in ((stage, {"fix_study": None, "fix_traits": []}), (features, {"buckets": 200}), (between_loci, {"min_string_score": 0.0})):
         p = step(run, "root", **by_date, **more)
         p.add_argument("--overwrite", action="store_true")
     step(gold, "in_features", "in_gs", "in_toploci", "in_clusters", "in_string", "out_full", "out_training", "out_log", min_string_score=0.9, gs_classes=["High", "Medium", "Low"])

@@ -254,6 +254,7 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "interlocus_by_trait": (("context", "interactions"), _interlocus(True)),
     "interlocus_features": (("context", "interactions"), _interlocus_both()),
     "feature_matrix": (("spine", "vep_f", "dhs_f", "enh_f", "pph_f", "pch_f", "clpp", "llr", "csize", "study_list", "resolved"), MATRIX),
+    "matrix_from_store": (("spine", "vep_f", "dhs_f", "enh_f", "pph_f", "pch_f", "clpp", "llr", "csize", "study_list", "resolved"), MATRIX),
     "gold_rank": (("gold",), "SELECT * FROM gold"),
     "gold_labels": (("labelled",), "SELECT * FROM labelled"),
     "training_split": (("labelled",), f"SELECT {K6}, gold_standard_status FROM labelled WHERE gold_standard_status IN (0, 1)"),
@@ -350,6 +351,7 @@ ROUND = {
     "distance_features": f"{DISTANCES} {TAG_DISTANCES}", "clpp_features": CLPP, "coloc_features": LLR, "interlocus_by_study": SUMS.format("interlocus_study"),
     "interlocus_by_trait": SUMS.format("interlocus_trait"), "interlocus_features": f"{SUMS.format('interlocus_study')} {SUMS.format('interlocus_trait')}", "gold_rank": "neglog_p", "heldout_scores": "y_proba",
     "feature_matrix": " ".join([DISTANCES, TAG_DISTANCES, *[FAMILY[p] for p in ("vep", "dhs", "enh", "pph", "pch")], CLPP, LLR, "proteinAttenuation"]),
+    "matrix_from_store": " ".join([DISTANCES, TAG_DISTANCES, *[FAMILY[p] for p in ("vep", "dhs", "enh", "pph", "pch")], CLPP, LLR, "proteinAttenuation"]),
     "confusion_report": "accuracy precision recall tpr tnr fpr fnr fdr f1 balanced_accuracy", "average_precision": "average_precision", "roc_auc": "roc_auc",
     "pr_curve": "score precision recall", "roc_curve": "score fpr tpr", "calibration": "mean_score share_positive", "importance_means": "mean_importance",
     "score_pivot": "y_proba_full_model y_proba_dist_foot y_proba_dist_tss",

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genesieve.ml import folds as fold_ops
 from genesieve.ml import train
 from genesieve.operators import coloc, components, distance, evidence, interlocus, labels, matrix, metrics, staging
-from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE, feature_sets
-from genesieve.sources.scratch import materialise
+from genesieve.schema import EVIDENCE_COLUMNS, LOCUS, LOCUS_GENE, feature_sets, sort_order
+from genesieve.sources.catalog import Catalog, Dataset
+from genesieve.sources.scratch import materialise, scratch_root
 from genesieve.sources.star import NUDGE, Star
 
 
@@ -206,21 +209,43 @@ def interlocus_features(s: Star) -> DataFrame:
     return _flat_partners(_flat_partners(both, "interlocus_study"), "interlocus_trait")
 
 
-def _matrix(s: Star) -> DataFrame:
+def _families(s: Star) -> dict[str, DataFrame]:
     s.stage("lines", "tags")
     qtl = materialise(_qtl(s), "qtl")
-    families = [
-        evidence.evidence_features(s["tags"], s["evidence"], EVIDENCE_COLUMNS["vep"]),
-        evidence.evidence_features(s["tags"], s["dhs_evidence"], EVIDENCE_COLUMNS["dhs_prmtr"]),
-        evidence.evidence_features(s["tags"], s["enhancer_evidence"], EVIDENCE_COLUMNS["enhc_tss"]),
-        evidence.evidence_features(s["tags"], _polyphen(s), EVIDENCE_COLUMNS["polyphen"]),
-        evidence.tissue_features(evidence.tags_in_contacts(s["tags"], s["contacts"]), EVIDENCE_COLUMNS["pchicJung"]),
-        coloc.clpp_features(s["tags"], qtl),
-        coloc.coloc_features(staging.prepare_coloc(s["coloc_raw"], _coding(s)), qtl),
-    ]
+    return {
+        "vep": evidence.evidence_features(s["tags"], s["evidence"], EVIDENCE_COLUMNS["vep"]),
+        "dhs_prmtr": evidence.evidence_features(s["tags"], s["dhs_evidence"], EVIDENCE_COLUMNS["dhs_prmtr"]),
+        "enhc_tss": evidence.evidence_features(s["tags"], s["enhancer_evidence"], EVIDENCE_COLUMNS["enhc_tss"]),
+        "polyphen": evidence.evidence_features(s["tags"], _polyphen(s), EVIDENCE_COLUMNS["polyphen"]),
+        "pchicJung": evidence.tissue_features(evidence.tags_in_contacts(s["tags"], s["contacts"]), EVIDENCE_COLUMNS["pchicJung"]),
+        "clpp": coloc.clpp_features(s["tags"], qtl),
+        "coloc": coloc.coloc_features(staging.prepare_coloc(s["coloc_raw"], _coding(s)), qtl),
+    }
+
+
+def _spine_and_helpers(s: Star) -> tuple[DataFrame, list[list[DataFrame]]]:
     attenuation = staging.one_value_per_gene(_resolved(s)).select("gene_id", F.col("value").alias("proteinAttenuation"))
     spine = distance.distance_features(s["loci"], s["tags"], s["genes"])
-    return matrix.assemble(spine, families, [staging.credible_set_size(s["tags"])], [staging.study_flags(_studies(s))], [attenuation])
+    return spine, [[staging.credible_set_size(s["tags"])], [staging.study_flags(_studies(s))], [attenuation]]
+
+
+def _matrix(s: Star) -> DataFrame:
+    families = _families(s)
+    spine, helpers = _spine_and_helpers(s)
+    return matrix.assemble(spine, list(families.values()), *helpers)
+
+
+def matrix_from_store(s: Star) -> DataFrame:
+    """The same matrix from feature tables that are stored in buckets by (locus, gene), as the command line keeps them: no shuffle joins them."""
+    families = _families(s)
+    spine, helpers = _spine_and_helpers(s)
+    families["distance"] = matrix.with_helpers(spine, *helpers)
+    layout = (int(s.spark.conf.get("spark.sql.shuffle.partitions")), tuple(sort_order(LOCUS_GENE)))
+    root = f"{scratch_root(s.spark)}/features-{uuid.uuid4().hex[:12]}"
+    cat = Catalog(s.spark, "", {n: Dataset(f"{root}/{n}", buckets=layout) for n in families})
+    for name, df in families.items():
+        cat.write(name, df)
+    return matrix.assemble(cat.read("distance"), [cat.read(n) for n in families if n != "distance"])
 
 
 def feature_matrix(s: Star) -> DataFrame:
@@ -363,7 +388,7 @@ ALL = (
     scan_project_filter, neglog_p, credset_unify, qtl_prepare, coloc_prepare, mixed_split_interval, mixed_split_consequence, gene_table, best_transcript,
     network_prepare, name_resolution, name_unresolved, trait_fixup, variant_index_filter, locus_components, evidence_max_nbh, evidence_ave_nbh, evidence_features,
     dhs_features, enhancer_features, polyphen_features, tissue_evidence, interval_evidence, distance_sentinel, gene_density, distance_tags, distance_features,
-    clpp_features, coloc_features, credset_size, study_flag, interlocus_by_study, interlocus_by_trait, interlocus_features, feature_matrix, gold_rank, gold_labels, training_split,
+    clpp_features, coloc_features, credset_size, study_flag, interlocus_by_study, interlocus_by_trait, interlocus_features, feature_matrix, matrix_from_store, gold_rank, gold_labels, training_split,
     dropout_reports, fold_assignment, heldout_scores, confusion_report, average_precision, roc_auc, pr_curve, roc_curve, calibration, completeness,
     importance_means, parameter_usage, score_pivot, trained_scores, model_importances, model_search, model_parameters,
 )

@@ -1,5 +1,7 @@
 """Sources, sinks and layout."""
 
+from genesieve.operators import matrix
+from genesieve.schema import LOCUS_GENE, sort_order
 from genesieve.sources.catalog import GOLD_STANDARDS, STRING_LINKS, Catalog, Dataset, csv, write_report
 
 
@@ -21,3 +23,30 @@ def test_round_trips(spark, tmp_path):
     assert cat.read("copy", ["k"]).count() == 1
     write_report(df.limit(2), f"{tmp_path}/report", "\t")
     assert len(list((tmp_path / "report").glob("*.csv"))) == 1
+
+
+def test_buckets_join_without_a_shuffle(spark, tmp_path):
+    """Families stored in equal buckets make the matrix without an exchange, in a session with no setting of its own; a later session reads the same layout."""
+    keys = tuple(sort_order(LOCUS_GENE))
+    rows = [(f"S{i % 3}", str(i % 5 + 1), i, "A", "G", f"G{i % 7}", float(i)) for i in range(300)]
+    spine = spark.createDataFrame(rows, "study_id string, chrom string, pos long, ref string, alt string, gene_id string, d double")
+    names = ("distance", "one", "two")
+    cat = Catalog(spark, "v", {n: Dataset(f"{tmp_path}/{{version}}/{n}", buckets=(3, keys)) for n in names})
+    cat.write("distance", spine)
+    cat.write("one", spine.where("pos % 2 = 0").withColumnRenamed("d", "x"))
+    cat.write("two", spine.where("pos % 3 = 0").withColumnRenamed("d", "y"))
+    cat.write("two", spine.limit(0).withColumnRenamed("d", "y"))  # it exists and stays
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for again in (False, True):
+            if again:
+                for d in (cat._at(n) for n in names):
+                    spark.sql(f"DROP TABLE {d.table}")  # as in a later session; external files stay
+            out = matrix.assemble(cat.read("distance"), [cat.read("one"), cat.read("two")])
+            got = out.collect()
+            assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+            assert len(got) == 300 and sum(r["x"] is not None for r in got) == 150 and sum(r["y"] is not None for r in got) == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    cat.write("two", spine.limit(0).withColumnRenamed("d", "y"), overwrite=True)
+    assert cat.read("two").count() == 0 and cat.read("one", ["x"]).columns == ["x"]

@@ -47,7 +47,7 @@ def test_stage_and_features(spark, tmp_path):
     s, root = Star(spark, SF), str(tmp_path)
     raw_tables(s, root)
     run("stage", "--root", root, "--version", "v", "--fix_study", "S7", "--fix_traits", "EFO_fixed")
-    run("features", "--root", root, "--version", "v")
+    run("features", "--root", root, "--version", "v", "--buckets", "4")
     run("between_loci", "--root", root, "--version", "v")
     assert [r["trait_efos"] for r in spark.read.parquet(f"{root}/v/staged/studies").where("study_id = 'S7'").collect()] == [["EFO_fixed"]]
     between = spark.read.parquet(f"{root}/v/features/interlocus")
