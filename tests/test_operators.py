@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from genesieve.ml.folds import assign, fold_name, with_folds
@@ -258,6 +259,42 @@ def test_thresholds_equal_brute_force(spark):
     assert metrics.thresholds(df.where("false"), ["g"]).count() == 0
 
 
+def test_dense_bins_are_split(spark):
+    """Nine tenths of the points lie in one bin, half of them at one place: pairs are the same as without splitting, and no key gathers them."""
+    import functools
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, "1", 7_000_123 if i % 2 else rng.randrange(7_000_000, 7_050_000)) if i % 10 else (i, rng.choice("12"), rng.randrange(20_000_000)) for i in range(3000)]
+    rows += [(3000, "1", None), (3001, None, 5), (3002, "1", 7_000_123), (3002, "1", 7_000_123)]
+    points = spark.createDataFrame(rows, "i int, c string, at long")
+    spans = [(j, rng.choice("12"), (a := rng.randrange(20_000_000)), a + rng.randrange(400_000)) for j in range(100)]
+    spans += [(100, "1", 6_999_000, 7_001_000), (101, "1", 7_000_123, 7_000_123), (102, "1", None, 5), (103, "1", 9, 5), (104, "1", 6_000_000, 8_000_000)]
+    intervals = spark.createDataFrame(spans, "j int, d string, low long, high long")
+    split = functools.partial(rangejoin.dense_bins, parts=20, least=10)
+    for join in (rangejoin.points_in_intervals, rangejoin.points_near_ends):
+        plain = join(points, intervals, ("c", "d"), "at", "low", "high", split=None)
+        got = join(points, intervals, ("c", "d"), "at", "low", "high", split=split)
+        assert got.columns == plain.columns and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    dense = split(points, "c", "at", 50_000).collect()
+    assert {r["_coarse"] for r in dense} == {140} and max(r["_pieces"] for r in dense) >= 9 and len(dense) <= rangejoin.FINE
+    # rows of the largest key of the join
+    seen = []
+    real = DataFrame.join
+
+    def spy(self, other, *a, **k):
+        if "_piece" in self.columns and "_ipiece" in other.columns:
+            seen.append(self.groupBy("c", "_bin", "_f", "_piece").count().agg(F.max("count")).first()[0])
+        return real(self, other, *a, **k)
+
+    DataFrame.join, kept = spy, DataFrame.join
+    try:
+        rangejoin.points_in_intervals(points, intervals, ("c", "d"), "at", "low", "high", split=split).count()
+    finally:
+        DataFrame.join = kept
+    assert seen and seen[0] < 3004 / 20 * 1.5
+
+
 def test_close_scores_are_ranked_by_several_tasks(spark):
     # all scores lie inside 1e-4 of each other, and one group holds nearly all of them
     df = spark.range(4000).select(F.when(F.col("id") < 3900, "big").otherwise("small").alias("g"), (F.col("id") % 3 == 0).cast("int").alias("label"), (0.5 + F.col("id") / 4e7).alias("score"))
