@@ -212,11 +212,9 @@ def interlocus_features(s: Star) -> DataFrame:
 def _families(s: Star) -> dict[str, DataFrame]:
     s.stage("lines", "tags")
     qtl = materialise(_qtl(s), "qtl")
+    scored = {"vep": s["evidence"], "dhs_prmtr": s["dhs_evidence"], "enhc_tss": s["enhancer_evidence"], "polyphen": _polyphen(s)}
     return {
-        "vep": evidence.evidence_features(s["tags"], s["evidence"], EVIDENCE_COLUMNS["vep"]),
-        "dhs_prmtr": evidence.evidence_features(s["tags"], s["dhs_evidence"], EVIDENCE_COLUMNS["dhs_prmtr"]),
-        "enhc_tss": evidence.evidence_features(s["tags"], s["enhancer_evidence"], EVIDENCE_COLUMNS["enhc_tss"]),
-        "polyphen": evidence.evidence_features(s["tags"], _polyphen(s), EVIDENCE_COLUMNS["polyphen"]),
+        "evidence": evidence.family_features(s["tags"], {n: (df, EVIDENCE_COLUMNS[n]) for n, df in scored.items()}),
         "pchicJung": evidence.tissue_features(evidence.tags_in_contacts(s["tags"], s["contacts"]), EVIDENCE_COLUMNS["pchicJung"]),
         "clpp": coloc.clpp_features(s["tags"], qtl),
         "coloc": coloc.coloc_features(staging.prepare_coloc(s["coloc_raw"], _coding(s)), qtl),

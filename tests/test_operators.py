@@ -259,6 +259,24 @@ def test_thresholds_equal_brute_force(spark):
     assert metrics.thresholds(df.where("false"), ["g"]).count() == 0
 
 
+def test_families_together_equal_each_alone(spark):
+    import random
+
+    rng = random.Random(2)
+    tags = spark.createDataFrame([(f"S{i % 3}", "1", i // 6, "A", "G", "1", rng.randrange(20), "A", "G", rng.random(), rng.random() < 0.5) for i in range(200)], LOCUS_DDL + ", tag_chrom string, tag_pos long, tag_ref string, tag_alt string, weight double, in95 boolean")
+    ddl = "tag_chrom string, tag_pos long, tag_ref string, tag_alt string, gene_id string, score double"
+    tables = {n: spark.createDataFrame([("1", p, "A", "G", f"G{g}", rng.choice([None, 0.0, round(rng.random(), 3)])) for p in range(20) for g in range(5) if rng.random() < share], ddl) for n, share in (("a", 0.3), ("b", 0.1))}
+    names = {n: tuple(f"{n}_{x}" for x in ("max", "max_nbh", "ave", "ave_nbh")) for n in tables}
+    both = {tuple(r[c] for c in LOCUS_GENE): r for r in evidence.family_features(tags, {n: (t, names[n]) for n, t in tables.items()}).collect()}
+    for n, t in tables.items():
+        alone = {tuple(r[c] for c in LOCUS_GENE): r for r in evidence.evidence_features(tags, t, names[n]).collect()}
+        for key, row in both.items():
+            for c in names[n]:
+                want = alone[key][c] if key in alone else None
+                assert row[c] == want or abs(row[c] - want) < 1e-12
+        assert alone.keys() <= both.keys()
+
+
 def test_dense_bins_are_split(spark):
     """Nine tenths of the points lie in one bin, half of them at one place: pairs are the same as without splitting, and no key gathers them."""
     import functools
