@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from genesieve.plans import registry
+from genesieve.schema import LOCUS_GENE, feature_sets
 
 SF = "/root/testdata/sf0.001"
 SQL = registry.oracle_sql()
@@ -46,7 +47,26 @@ def test_query_equals_its_sql(spark, duck, name):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_trained_scores_are_held_out(spark):
+    """Eleven feature sets of the matrix: every row is scored once a set, by the model of the fold that holds its chromosome."""
     out = registry.queries()["trained_scores"](spark, SF)
-    rows = out.select("chrom", "training_fold", "y_proba").collect()
+    rows = out.select(*LOCUS_GENE, "training_ft", "training_fold", "y_proba").collect()
     assert rows and all(0 <= r["y_proba"] <= 1 and not math.isnan(r["y_proba"]) for r in rows)
     assert all(r["chrom"] in r["training_fold"].split("=")[1].split("|") for r in rows)
+    keys = [(r["training_ft"], *[r[c] for c in LOCUS_GENE]) for r in rows]
+    n = registry.queries()["feature_matrix"](spark, SF).count()
+    assert len(keys) == len(set(keys)) == 11 * n and {k[0] for k in keys} == set(feature_sets())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_importances_and_parameters_are_those_of_trained_models(spark):
+    used = registry.queries()["model_importances"](spark, SF).collect()
+    by_model = {}
+    for r in used:
+        by_model.setdefault((r["ft"], r["fold"]), []).append(r)
+    assert len(by_model) == 55
+    for (ft, _), rows in by_model.items():
+        assert {r["feature"] for r in rows} == set(feature_sets()[ft])
+        total = sum(r["importance"] for r in rows)
+        assert abs(total - 1) < 1e-3 or (total == 0 and all(r["splits"] == 0 for r in rows))
+    chosen = registry.queries()["model_parameters"](spark, SF).collect()
+    assert sum(r["n"] for r in chosen if r["parameter"] == "max_depth") == 5
