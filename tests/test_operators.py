@@ -343,6 +343,15 @@ def scored_ranges(spark):
     return [r["count"] for r in spark.read.parquet(last).groupBy("_range").count().collect()]
 
 
+def test_a_source_whose_study_no_partner_has_meets_none(spark):
+    rows = [("S1", "1", 1, "A", "G", "G1", "c1"), ("S2", "1", 2, "A", "G", "G2", "c2"), ("S3", "1", 3, "A", "G", "G1", "c3"), ("S2", "1", 4, "A", "G", "G1", "c4")]
+    df = spark.createDataFrame(rows, LOCUS_DDL + ", gene_id string, cluster_label string").withColumn("trait_efos", F.when(F.col("study_id") != "S3", F.array("study_id")))
+    inter = spark.createDataFrame([("G1", "G2", 0.5)], "gene_id string, partner string, score double")
+    for by_trait in (True, False):
+        got = interlocus.interlocus_scores(df, inter, by_trait, "x").collect()
+        assert [(r["study_id"], r["pos"], r["x_unweighted"]) for r in got] == [("S2", 4, 0.5)]
+
+
 def test_hub_genes_are_spread_over_cells(spark, monkeypatch):
     import random
 
