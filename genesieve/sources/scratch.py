@@ -40,6 +40,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a scratch table that ``materialise`` returned, once nothing will read it again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent() == spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark)).makeQualified(path.toUri(), path):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables; call it once no result of theirs is needed any more."""
     jvm = spark.sparkContext._jvm

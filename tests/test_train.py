@@ -1,5 +1,6 @@
 """Boosted trees against a booster in plain Python; search, early stopping, one scan for all models, and what is read back."""
 
+import glob
 import json
 import math
 import random
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from genesieve.ml import boosting, train
 from genesieve.ml.boosting import FIXED, Settings, Spec
 from genesieve.operators import metrics
+from genesieve.sources.scratch import materialise, scratch_root
 
 DDL = "study_id string, chrom string, pos long, ref string, alt string, gene_id string, near double, far double, gs_confidence string, gold_standard_status int"
 
@@ -128,6 +130,12 @@ def test_early_stopping_ends_at_the_least_watched_loss(spark):
         assert len(whole.losses) == 3
 
 
+def test_margins_are_deleted_once_spent(spark):
+    table = materialise(prepared(spark, labelled(spark))[0], "binned")
+    boosting.grow(table, [Spec((0,), Settings(n_trees=3), (0, 1), frozenset({"1"}), frozenset({"1"}))], early_stop=5)
+    assert not glob.glob(f"{scratch_root(spark).removeprefix('file://')}/margins-*") and table.count() == 240
+
+
 def jobs(spark, work):
     group = f"g{random.random()}"
     spark.sparkContext.setJobGroup(group, group)
