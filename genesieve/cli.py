@@ -38,10 +38,12 @@ def stage(args: argparse.Namespace) -> None:
     cat.write("studies", staging.fix_traits(studies, args.fix_study, args.fix_traits) if args.fix_study else studies, keep)
     cat.write("toploci", staging.top_loci(cat.read("raw_toploci")), keep, LOCUS[:3])
     cat.write("credsets_v2d", staging.unify_credible_sets(fine, cat.read("raw_pics")), keep, ("study_id", "lead_chrom", "lead_pos"))
-    qtl = staging.prepare_qtl(fine, cat.read("raw_phenotypes"))
-    if lost := staging.types_lost(fine, qtl):
-        raise ValueError(f"QTL types without a gene: {lost}")
-    cat.write("credsets_qtl", qtl, keep, ("study_id", "lead_chrom", "lead_pos"))
+    if keep or not cat.exists("credsets_qtl"):
+        qtl, lost = staging.prepare_qtl_checked(fine, cat.read("raw_phenotypes"))
+        cat.write("credsets_qtl", qtl, True, ("study_id", "lead_chrom", "lead_pos"))
+        if lost():
+            cat.remove("credsets_qtl")
+            raise ValueError(f"QTL types without a gene: {sorted(lost())}")
     cat.write("genes", staging.protein_coding(cat.read("raw_genes").withColumnsRenamed({"start": "gene_start", "end": "gene_end"})), keep, files=10)
     genes = cat.read("genes")
     cat.write("coloc", staging.prepare_coloc(cat.read("raw_coloc"), genes), keep, ("left_study", "left_chrom", "left_pos"))
@@ -101,12 +103,11 @@ def gold(args: argparse.Namespace) -> None:
     """Labels for the matrix, the training rows, and reports of what was lost."""
     spark = session("gold")
     read = spark.read.parquet
-    attached = labels.attach_locus(labels.parse_gold(spark.read.schema(GOLD_STANDARDS).json(args.in_gs), args.gs_classes), read(args.in_clusters), read(args.in_toploci)).persist()
-    chosen = labels.choose_gold(attached).persist()
-    labelled = labels.label_genes(read(args.in_features), chosen, read(args.in_string), args.min_string_score).persist()
-    labelled.write.mode("overwrite").parquet(args.out_full)
-    labels.training_rows(labelled).write.mode("overwrite").parquet(args.out_training)
-    write_report(labels.dropout_reports(attached, chosen, labelled), args.out_log)
+    records = labels.parse_gold(spark.read.schema(GOLD_STANDARDS).json(args.in_gs), args.gs_classes)
+    write = lambda df: df.write.mode("overwrite").parquet(args.out_full)
+    report = labels.label_and_report(records, read(args.in_clusters), read(args.in_toploci), read(args.in_features), read(args.in_string), write, args.min_string_score)
+    labels.training_rows(read(args.out_full)).write.mode("overwrite").parquet(args.out_training)
+    write_report(report, args.out_log)
 
 
 def fit(args: argparse.Namespace) -> None:

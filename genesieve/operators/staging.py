@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genesieve.functions.scalar import gene_of_phenotype, neglog10
+from genesieve.operators.observed import with_values
 from genesieve.operators.ranking import distinct_by
 from genesieve.schema import LEAD, TAG
 
@@ -38,9 +41,14 @@ def prepare_qtl(fine_mapped: DataFrame, genes_of_phenotypes: DataFrame) -> DataF
     return out.select("type", "study_id", "bio_feature", "phenotype_id", "gene_id", *LEAD, *TAG, "postprob", "qtl_neglog_p", "is_sentinel")
 
 
-def types_lost(before: DataFrame, after: DataFrame) -> list[str]:
-    """QTL types of ``before`` that ``after`` lacks; a run should stop unless this is empty."""
-    return [r["type"] for r in before.where("type <> 'gwas'").select("type").distinct().join(after.select("type").distinct(), "type", "left_anti").collect()]
+def prepare_qtl_checked(fine_mapped: DataFrame, genes_of_phenotypes: DataFrame) -> tuple[DataFrame, Callable[[], set[str]]]:
+    """``prepare_qtl``, and a function that tells, once the result has been written, the QTL types of ``fine_mapped`` that it lacks.
+
+    Both sides' types are observed by the job that writes; a run should stop unless none is lost.
+    """
+    before, told_before = with_values(fine_mapped, F.when(F.col("type") != "gwas", F.col("type")))
+    after, told_after = with_values(prepare_qtl(before, genes_of_phenotypes), F.col("type"))
+    return after, lambda: told_before() - told_after()
 
 
 def prepare_coloc(raw: DataFrame, coding_genes: DataFrame, min_variants: int = 250) -> DataFrame:

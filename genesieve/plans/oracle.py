@@ -203,6 +203,11 @@ MATRIX = f"""SELECT s.*, {', '.join(f'{p}.{a.strip()} AS {b.strip()}' for p in (
     LEFT JOIN clpp USING ({K6}) LEFT JOIN llr USING ({K6}) LEFT JOIN csize USING ({K5}) LEFT JOIN study_list USING (study_id) LEFT JOIN per_gene USING (gene_id)"""
 
 #: Query -> (views and steps, SQL). ``WITH_`` continues the list of CTEs.
+DROPOUT = """SELECT 'p_value' AS stage, gs_set, count(neglog_p) AS n_kept, count(*) - count(neglog_p) AS n_lost FROM attached GROUP BY gs_set
+        UNION ALL SELECT 'cluster', gs_set, count(*) FILTER (WHERE cluster_label <> 'cluster_unknown'), count(*) FILTER (WHERE cluster_label = 'cluster_unknown') FROM attached WHERE neglog_p IS NOT NULL GROUP BY gs_set
+        UNION ALL SELECT 'chosen', gs_set, count(*), 0 FROM gold GROUP BY gs_set
+        UNION ALL SELECT 'labelled', gs_set, count(*) FILTER (WHERE gold_standard_status = 1), count(*) FILTER (WHERE gold_standard_status <> 1) FROM labelled WHERE gs_set IS NOT NULL GROUP BY gs_set"""
+
 QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "scan_project_filter": (
         (),
@@ -258,13 +263,8 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "gold_rank": (("gold",), "SELECT * FROM gold"),
     "gold_labels": (("labelled",), "SELECT * FROM labelled"),
     "training_split": (("labelled",), f"SELECT {K6}, gold_standard_status FROM labelled WHERE gold_standard_status IN (0, 1)"),
-    "dropout_reports": (
-        ("labelled",),
-        """SELECT 'p_value' AS stage, gs_set, count(neglog_p) AS n_kept, count(*) - count(neglog_p) AS n_lost FROM attached GROUP BY gs_set
-        UNION ALL SELECT 'cluster', gs_set, count(*) FILTER (WHERE cluster_label <> 'cluster_unknown'), count(*) FILTER (WHERE cluster_label = 'cluster_unknown') FROM attached WHERE neglog_p IS NOT NULL GROUP BY gs_set
-        UNION ALL SELECT 'chosen', gs_set, count(*), 0 FROM gold GROUP BY gs_set
-        UNION ALL SELECT 'labelled', gs_set, count(*) FILTER (WHERE gold_standard_status = 1), count(*) FILTER (WHERE gold_standard_status <> 1) FROM labelled WHERE gs_set IS NOT NULL GROUP BY gs_set""",
-    ),
+    "dropout_reports": (("labelled",), DROPOUT),
+    "dropout_observed": (("labelled",), DROPOUT),
     "fold_assignment": (
         ("labelled",),
         """WITH_ counts AS (SELECT chrom, count(*) AS n FROM labelled WHERE gold_standard_status = 1 GROUP BY chrom),

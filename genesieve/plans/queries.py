@@ -250,7 +250,7 @@ def feature_matrix(s: Star) -> DataFrame:
     return _matrix(s)
 
 
-def _gold(s: Star) -> DataFrame:
+def _records(s: Star) -> DataFrame:
     flat = s["gold_flat"]
     nested = flat.select(
         F.struct(F.col("study_id").alias("otg_id")).alias("association_info"),
@@ -258,7 +258,11 @@ def _gold(s: Star) -> DataFrame:
         F.struct("gene_id", F.col("gs_confidence").alias("highest_confidence")).alias("gold_standard_info"),
         F.struct(F.col("gs_set").alias("set_label")).alias("metadata"),
     )
-    return labels.attach_locus(labels.parse_gold(nested), _clusters(s), s["gold_loci"])
+    return labels.parse_gold(nested)
+
+
+def _gold(s: Star) -> DataFrame:
+    return labels.attach_locus(_records(s), _clusters(s), s["gold_loci"])
 
 
 def gold_rank(s: Star) -> DataFrame:
@@ -283,6 +287,12 @@ def dropout_reports(s: Star) -> DataFrame:
     return labels.dropout_reports(attached, labels.choose_gold(attached), _labelled(s))
 
 
+def dropout_observed(s: Star) -> DataFrame:
+    """The same reports, counted by the jobs that write the gold records, the chosen ones and the labelled rows."""
+    spine = distance.sentinel_distances(s["loci"], s["genes"]).select(*LOCUS_GENE, "dist_foot_sentinel")
+    return labels.label_and_report(_records(s), _clusters(s), s["gold_loci"], spine, s["coloc_network"], lambda df: materialise(df, "labelled"))
+
+
 def fold_assignment(s: Star) -> DataFrame:
     positives = fold_ops.count_positives(_labelled(s))
     return fold_ops.fold_table(s.spark, fold_ops.assign(positives, 5)).select("chrom", "fold")
@@ -387,7 +397,7 @@ ALL = (
     network_prepare, name_resolution, name_unresolved, trait_fixup, variant_index_filter, locus_components, evidence_max_nbh, evidence_ave_nbh, evidence_features,
     dhs_features, enhancer_features, polyphen_features, tissue_evidence, interval_evidence, distance_sentinel, gene_density, distance_tags, distance_features,
     clpp_features, coloc_features, credset_size, study_flag, interlocus_by_study, interlocus_by_trait, interlocus_features, feature_matrix, matrix_from_store, gold_rank, gold_labels, training_split,
-    dropout_reports, fold_assignment, heldout_scores, confusion_report, average_precision, roc_auc, pr_curve, roc_curve, calibration, completeness,
+    dropout_reports, dropout_observed, fold_assignment, heldout_scores, confusion_report, average_precision, roc_auc, pr_curve, roc_curve, calibration, completeness,
     importance_means, parameter_usage, score_pivot, trained_scores, model_importances, model_search, model_parameters,
 )
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from genesieve.ml.folds import assign, fold_name, with_folds
 from genesieve.operators import coloc, components, distance, evidence, interlocus, labels, matrix, metrics, ranking, rangejoin, staging
+from genesieve.operators.observed import with_counts
 from genesieve.schema import LOCUS, LOCUS_GENE, feature_sets, missing_features
+from genesieve.sources.scratch import materialise
 
 S1 = ("S1", "1", 1_000_000, "A", "G")
 LOCUS_DDL = "study_id string, chrom string, pos long, ref string, alt string"
@@ -123,7 +125,50 @@ def test_qtl_preparation(spark):
     raw = spark.createDataFrame(rows, ddl)
     out = staging.prepare_qtl(raw, spark.createDataFrame([("other", "G9")], "phenotype_id string, gene_id string"))
     assert sorted((r["gene_id"], r["is_sentinel"], r["qtl_neglog_p"]) for r in out.collect()) == [("", False, None), ("ENSG00000000001", True, 2.0)]
-    assert staging.types_lost(raw, out) == [] and staging.types_lost(raw, out.where("false")) == ["eqtl"]
+
+
+def test_lost_types_and_dropouts_are_seen_while_writing(spark):
+    side = "chrom string, pos long, ref string, alt string"
+    ddl = f"type string, study_id string, bio_feature string, phenotype_id string, {', '.join(f'{x}_{c}' for x in ('lead', 'tag') for c in side.split(', '))}, postprob double, is95_credset boolean, tag_pval_cond double"
+    v = ("1", 5, "A", "G")
+    row = lambda kind, phenotype, p: (kind, "Q", "b", phenotype, *v, *v, p, True, 0.5)
+    names = spark.createDataFrame([("P", "G9")], "phenotype_id string, gene_id string")
+    for rows, lost in (([row("eqtl", "P", 0.5), row("gwas", "P", 0.5)], set()), ([row("eqtl", "P", 0.5), row("pqtl", "P", 0.0), row("gwas", "P", 0.5)], {"pqtl"}), ([], set())):
+        df, told = staging.prepare_qtl_checked(spark.createDataFrame(rows, ddl), names)
+        materialise(df, "test-qtl")
+        assert told() == lost
+
+
+def test_dropouts_are_counted_by_the_jobs_that_write(spark):
+    k5 = ("S1", "1", 3, "A", "G")
+    gold = spark.createDataFrame([(*k5, "G1", "High", "a"), (*k5, "G2", "Low", "b"), ("S1", "1", 9, "A", "G", "G1", "High", "b"), ("S9", "1", 9, "A", "G", "G1", "High", None)], LOCUS_DDL + ", gene_id string, gs_confidence string, gs_set string")
+    clusters = spark.createDataFrame([(*k5, "c")], LOCUS_DDL + ", cluster_label string")
+    loci = spark.createDataFrame([(*k5, 8.0), ("S1", "1", 9, "A", "G", 7.0)], LOCUS_DDL + ", neglog_p double")
+    m = spark.createDataFrame([(*k5, x) for x in ("G1", "G2", "G3")] + [("S1", "1", 9, "A", "G", "G1")], LOCUS_DDL + ", gene_id string")
+    links = spark.createDataFrame([("G3", "G1", 0.95, "1", "1")], "gene_id_1 string, gene_id_2 string, string_score double, gene_1_chrom string, gene_2_chrom string")
+    written = []
+    got = labels.label_and_report(gold, clusters, loci, m, links, lambda df: written.append(materialise(df, "test-labelled")))
+    attached = labels.attach_locus(gold, clusters, loci)
+    want = labels.dropout_reports(attached, labels.choose_gold(attached), written[0])
+    tuples = lambda df: sorted(df.collect(), key=str)
+    assert tuples(got) == tuples(want) and len(tuples(want)) > 5
+    none = labels.label_and_report(gold.where("false"), clusters, loci, m, links, lambda df: materialise(df, "test-labelled"))
+    assert none.collect() == [] and written[0].count() == 4
+
+
+def test_a_table_is_read_once_for_its_counts(spark, tmp_path):
+    df = spark.range(1000).withColumn("set", F.col("id") % 3)
+    df.write.parquet(f"{tmp_path}/in")
+    read = spark.read.parquet(f"{tmp_path}/in")
+    jobs = lambda group: len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("plain", "")
+    read.write.parquet(f"{tmp_path}/plain")
+    counted, told = with_counts(read, "set", [0, 1, 2, 7], {"n": F.lit(True), "even": F.col("id") % 2 == 0})
+    spark.sparkContext.setJobGroup("counted", "")
+    counted.write.parquet(f"{tmp_path}/counted")
+    assert told() == [(0, 334, 167), (1, 333, 166), (2, 333, 167)]
+    assert jobs("counted") == jobs("plain")
+    spark.sparkContext.setJobGroup("none", "")
 
 
 def test_best_transcript(spark):
