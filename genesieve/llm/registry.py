@@ -106,13 +106,14 @@ WITH u AS (
 ), s AS (
   SELECT *, array_to_string(parts, '/') AS shape, CASE ruled WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad FROM p
 ), leaves AS MATERIALIZED (
-  SELECT host, shape, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad FROM s GROUP BY host, shape
+  SELECT host, shape, CAST(sum(k) AS BIGINT) AS n, count(*) AS urls, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad
+  FROM (SELECT host, path, shape, bad, count(*) AS k FROM s GROUP BY ALL) GROUP BY host, shape
 ), prior AS (
   SELECT CASE WHEN sum(labelled) > 0 THEN sum(bad) / sum(labelled) ELSE 0 END AS prior FROM leaves
 ), hosts AS (
   SELECT host, (sum(bad) + 10 * any_value(prior)) / (sum(labelled) + 10) AS purity, sum(n) AS mass FROM leaves, prior GROUP BY host
 ), level0 AS MATERIALIZED (
-  SELECT host, shape, n, labelled, bad, purity, mass, 0 AS known, '' AS node, shape AS rest FROM leaves JOIN hosts USING (host)
+  SELECT host, shape, n, urls, labelled, bad, purity, mass, 0 AS known, '' AS node, shape AS rest FROM leaves JOIN hosts USING (host)
 ){"".join(_op2_level(i) for i in range(1, SQL_LEVELS + 1))}, judged AS (
   {" UNION ALL ".join(f"SELECT host, shape, node, purity, known FROM level{i} WHERE rest IS NULL" for i in range(1, SQL_LEVELS + 1))}
 )
@@ -129,8 +130,7 @@ SQL_LEVELS = 4
 def _op2_level(i: int) -> str:
     return f"""
 , seg{i} AS (
-  SELECT * EXCLUDE (rest), CASE WHEN mass * 0.05 <= 1 THEN rest ELSE split_part(rest, '/', 1) END AS seg,
-         CASE WHEN mass * 0.05 > 1 AND contains(rest, '/') THEN substr(rest, instr(rest, '/') + 1) END AS rest
+  SELECT * EXCLUDE (rest), split_part(rest, '/', 1) AS seg, CASE WHEN contains(rest, '/') THEN substr(rest, instr(rest, '/') + 1) END AS rest
   FROM level{i - 1} WHERE rest IS NOT NULL
 ), few{i} AS (
   SELECT host, node, seg, count(*) OVER (PARTITION BY host, node) AS several
@@ -141,11 +141,11 @@ def _op2_level(i: int) -> str:
 ), common{i} AS (
   SELECT host, node, after FROM wide{i} GROUP BY host, node, after HAVING sum(n) >= 0.05 * any_value(mass)
 ), cells{i} AS MATERIALIZED (
-  SELECT w.host, w.node, seg, CASE WHEN c.after IS NULL THEN '{{*}}' ELSE w.after END AS cell, CAST(sum(n) AS DOUBLE) AS n
+  SELECT w.host, w.node, seg, CASE WHEN c.after IS NULL THEN '{{*}}' ELSE w.after END AS cell, CAST(sum(urls) AS DOUBLE) AS n
   FROM wide{i} w LEFT JOIN common{i} c ON w.host = c.host AND w.node = c.node AND w.after = c.after GROUP BY ALL
 ), sibling{i} AS MATERIALIZED (
-  SELECT host, node, seg, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(labelled) AS DOUBLE) AS labelled, CAST(sum(bad) AS DOUBLE) AS bad
-  FROM wide{i} GROUP BY host, node, seg HAVING count(rest) > 0 AND any_value(mass) * 0.05 > 1
+  SELECT host, node, seg, CAST(sum(urls) AS DOUBLE) AS n, CAST(sum(labelled) AS DOUBLE) AS labelled, CAST(sum(bad) AS DOUBLE) AS bad
+  FROM wide{i} GROUP BY host, node, seg HAVING count(rest) > 0
 ), pair{i} AS (
   SELECT a.host, a.node, a.seg AS sa, b.seg AS sb, a.n AS na, b.n AS nb, a.labelled AS la, b.labelled AS lb, a.bad AS ba, b.bad AS bb
   FROM sibling{i} a JOIN sibling{i} b ON a.host = b.host AND a.node = b.node AND (a.n > b.n OR a.n = b.n AND a.seg < b.seg)
@@ -164,14 +164,14 @@ def _op2_level(i: int) -> str:
 ), leader{i} AS (
   SELECT host, node, seg, leader FROM follower{i} UNION SELECT host, node, leader, leader FROM follower{i}
 ), below{i} AS MATERIALIZED (
-  SELECT w.host, shape, n, labelled, bad, purity, mass, rest, w.node || '/' || CASE WHEN leader IS NULL THEN w.seg ELSE '{{' || leader || '~}}' END AS node
+  SELECT w.host, shape, n, urls, labelled, bad, purity, mass, rest, w.node || '/' || CASE WHEN leader IS NULL THEN w.seg ELSE '{{' || leader || '~}}' END AS node
   FROM wide{i} w LEFT JOIN leader{i} l ON w.host = l.host AND w.node = l.node AND w.seg = l.seg
 ), node{i} AS (
   SELECT host, node, sum(n) AS mass, sum(labelled) AS known,
          CASE WHEN sum(n) = max(mass) THEN max(purity) ELSE (sum(bad) + 10 * max(purity)) / (sum(labelled) + 10) END AS purity
   FROM below{i} GROUP BY host, node
 ), level{i} AS MATERIALIZED (
-  SELECT b.host, shape, n, labelled, bad, k.purity, k.mass, known, b.node, rest FROM below{i} b JOIN node{i} k ON b.host = k.host AND b.node = k.node
+  SELECT b.host, shape, n, urls, labelled, bad, k.purity, k.mass, known, b.node, rest FROM below{i} b JOIN node{i} k ON b.host = k.host AND b.node = k.node
 )"""
 
 

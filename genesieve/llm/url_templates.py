@@ -1,11 +1,12 @@
 """URL filter: explicit rules first, then a path-template tree per host.
 
 Numbers and long hex ids in a segment become wildcards at once. The tree of what is left
-is built level by level, each under the generalised nodes of the level above, to the end of every path or
-down to nodes of 1 / ``rare`` pages, where no child can be rare; what is left of a path there is taken as it is:
+is built level by level, each under the generalised nodes of the level above, to the end of every path. Shares are those of pages, but
+pages of one url are evidence only once. A round goes down by one level, and through all further ones that have an only child; the last of
+``rounds`` takes what is left of a path as one segment, so a path nested without end costs no more rounds:
 
 * Children with less than ``rare`` of their node's pages become one wildcard (if there are several), so at most
-  1 / ``rare`` + 1 siblings are left. Shares don't depend on the size of the table.
+  1 / ``rare`` + 1 siblings are left. Nodes of all sizes are treated alike.
 * Siblings are compared in pairs by a chi-square test of what follows below them, allowing for a
   difference of ``effect`` that doesn't matter, and by a test of their labelled shares where both have labels. A sibling without a
   similar larger one leads; others join the largest leader that they are similar to. A branch
@@ -56,13 +57,15 @@ RULES = tuple(parse_rule(*r) for r in (("block", "com/en/"), ("allow", "example.
 class TreeSettings:
     #: Children with a smaller share of their node's pages are variable.
     rare: float = 0.05
-    #: A chi-square statistic of so much a page is no difference that matters.
+    #: A chi-square statistic of so much a url is no difference that matters.
     effect: float = 0.05
     #: Standard deviations by which a statistic may exceed what is expected of similar siblings.
     deviations: float = 3.0
-    #: Labelled pages that a parent's purity counts for.
+    #: Labelled urls that a parent's purity counts for.
     smoothing: float = 10.0
     reject_at: float = 0.9
+    #: Jobs go down the tree so often, whatever the depth of the paths.
+    rounds: int = 16
 
 
 def host_of(url: Column) -> Column:
@@ -92,7 +95,8 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labels: Da
 
     ``labels`` may give (page_id, bad 0/1); else a page decided by a rule is
     labelled by it. A null url, or one without ``://``, has empty host and path and
-    is judged like others. Rows that repeat an id, or have none, each count. Paths are read whole, however
+    is judged like others. Rows that repeat an id, or have none, are judged each; rows of one url are evidence as one, which is
+    bad if one of them is labelled so. Paths are read whole, however
     long and deep. Other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("_url"))
@@ -105,7 +109,8 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labels: Da
     else:
         known = labels.groupBy(F.col(labels.columns[0]).cast("long").alias("page_id")).agg(F.max(labels.columns[1]).cast("int").alias("_bad"))
         p = p.join(known, "page_id", "left")
-    leaves = p.groupBy("host", "_shape").agg(F.count(F.lit(1)).alias("n"), F.count("_bad").alias("labelled"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"))
+    urls = p.groupBy("host", "path", "_shape").agg(F.count(F.lit(1)).alias("_n"), F.max("_bad").alias("_bad"))
+    leaves = urls.groupBy("host", "_shape").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("urls"), F.count("_bad").alias("labelled"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"))
     judged = template_tree(materialise(leaves, "url-leaves"), settings)
     # one more key than the aggregation has: the join gets exchanges of its own, so that Spark may split a hot host
     by_leaf = judged.withColumn("_one", F.lit(1)).select("host", "_shape", "_one", "template", "purity", "_reject")
@@ -115,7 +120,7 @@ def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labels: Da
 
 
 def template_tree(leaves: DataFrame, s: TreeSettings) -> DataFrame:
-    """For leaves (host, _shape, n, labelled, bad): host, _shape, template, purity, _reject."""
+    """For leaves (host, _shape, n, urls, labelled, bad): host, _shape, template, purity, _reject."""
     leaves = compact(leaves)
     total = leaves.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).first()  # one row
     prior = (total["bad"] or 0) / total["labelled"] if total["labelled"] else 0.0
@@ -123,11 +128,11 @@ def template_tree(leaves: DataFrame, s: TreeSettings) -> DataFrame:
     # node: the generalised path so far, with mass pages; rest: what is left of the shape, null once a leaf has ended
     open_leaves = leaves.join(hosts, "host").withColumns({"node": F.lit(""), "rest": F.col("_shape")})
     done = []
-    while True:
-        level = compact(materialise(_descend(open_leaves, s), "url-level"))
+    for left in range(s.rounds - 1, -1, -1):
+        level = compact(materialise(_descend(open_leaves, s, last=not left), "url-level"))
         done.append(level.where("rest is null"))
         open_leaves = level.where("rest is not null")
-        if open_leaves.isEmpty():
+        if not left or open_leaves.isEmpty():
             break
     out = done[0]
     for part in done[1:]:
@@ -139,13 +144,12 @@ def _smoothed(parent: Column, s: TreeSettings) -> Column:
     return (F.sum("bad") + s.smoothing * parent) / (F.sum("labelled") + s.smoothing)
 
 
-def _descend(leaves: DataFrame, s: TreeSettings) -> DataFrame:
-    """The leaves one level further down: node and rest moved on; purity, mass and known (labelled pages) are the new node's."""
+def _descend(leaves: DataFrame, s: TreeSettings, last: bool) -> DataFrame:
+    """The leaves one level further down, to the end if it is the ``last``: node and rest moved on; purity, mass and known (labelled urls) are the new node's."""
     keys = ["host", "node"]
-    small = F.col("mass") * s.rare <= 1
-    first = F.when(small, F.col("rest")).otherwise(F.substring_index("rest", "/", 1))
-    later = F.when(~small & F.contains("rest", F.lit("/")), F.expr("substr(rest, instr(rest, '/') + 1)"))
-    leaves = leaves.select(*keys, "_shape", "n", "labelled", "bad", "purity", "mass", first.alias("seg"), later.alias("rest"))
+    first = F.col("rest") if last else F.substring_index("rest", "/", 1)
+    later = F.lit(None).cast("string") if last else F.when(F.contains("rest", F.lit("/")), F.expr("substr(rest, instr(rest, '/') + 1)"))
+    leaves = leaves.select(*keys, "_shape", "n", "urls", "labelled", "bad", "purity", "mass", first.alias("seg"), later.alias("rest"))
 
     # variable segments: children of a small share, if there are several
     children = leaves.groupBy(*keys, "seg").agg(F.sum("n").alias("n"), F.max("mass").alias("mass"))
@@ -159,10 +163,10 @@ def _descend(leaves: DataFrame, s: TreeSettings) -> DataFrame:
     after = F.coalesce("rest", F.lit("{end}"))
     follow = leaves.groupBy(*keys, after.alias("cell")).agg(F.sum("n").alias("n"), F.max("mass").alias("mass"))
     common = follow.where(F.col("n") >= s.rare * F.col("mass")).select(*keys, "cell", F.lit(True).alias("_common"))
-    cells = leaves.groupBy(*keys, "seg", after.alias("cell")).agg(F.sum("n").alias("n")).join(common, [*keys, "cell"], "left")
+    cells = leaves.groupBy(*keys, "seg", after.alias("cell")).agg(F.sum("urls").alias("n")).join(common, [*keys, "cell"], "left")
     cells = cells.groupBy(*keys, "seg", F.when(F.col("_common"), F.col("cell")).otherwise(F.lit(REST)).alias("cell")).agg(F.sum("n").alias("n"))
-    siblings = leaves.groupBy(*keys, "seg").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")], F.max("mass").alias("mass"), F.count("rest").alias("longer"))
-    leader = _leaders(siblings.where((F.col("longer") > 0) & (F.col("mass") * s.rare > 1)), cells, s)
+    siblings = leaves.groupBy(*keys, "seg").agg(F.sum("urls").alias("n"), *[F.sum(c).alias(c) for c in ("labelled", "bad")], F.count("rest").alias("longer"))
+    leader = _leaders(siblings.where("longer > 0"), cells, s)
 
     leaves = leaves.join(leader, [*keys, "seg"], "left")
     name = F.when(F.col("leader").isNull(), F.col("seg")).otherwise(F.concat(F.lit("{"), F.col("leader"), F.lit("~}")))
@@ -172,7 +176,7 @@ def _descend(leaves: DataFrame, s: TreeSettings) -> DataFrame:
     leaves = leaves.drop("purity", "mass").withColumn("_one", F.lit(1)).join(nodes, [*keys, "_one"])
     # only children of only children are passed at once
     leaves = leaves.withColumns({"node": F.concat_ws("/", "node", F.nullif("way", F.lit(""))), "rest": F.when(F.col("way") == "", F.col("rest")).otherwise(F.expr("substr(rest, length(way) + 2)"))})
-    return leaves.select("host", "_shape", "n", "labelled", "bad", "purity", "mass", "known", "node", "rest")
+    return leaves.select("host", "_shape", "n", "urls", "labelled", "bad", "purity", "mass", "known", "node", "rest")
 
 
 def _shared_way() -> Column:

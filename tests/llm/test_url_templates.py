@@ -79,6 +79,26 @@ def test_templates_do_not_depend_on_the_size_of_the_table(spark):
     assert once == twice and any("{*}" in t for t in once.values())
 
 
+def test_small_hosts_are_treated_like_large_ones(spark):
+    """Listing urls again changes nothing; a host of twelve urls merges its branches as one of hundreds does."""
+    small = [f"http://s{h}.example/{lang}/{kind}/{i}" for h in range(3) for lang in ("en", "de", "fr") for kind in ("view", "edit") for i in range(2)]
+    large = [f"http://l.example/{lang}/{kind}/{i}" for lang in ("en", "de", "fr") for kind in ("view", "edit") for i in range(80)]
+    urls = small + large
+    judge = lambda rows: {(r["host"], r["path"]): (r["template"], r["verdict"], r["purity"]) for r in filter_urls(spark.createDataFrame([(i, u, None) for i, u in enumerate(rows)], PAGES)).collect()}
+    once = judge(urls)
+    assert once == judge(urls * 2 + small * 7)
+    of = lambda host: {t for (h, _), (t, _, _) in once.items() if h == host}
+    assert of("s0.example") == of("s1.example") == of("l.example") and len(of("l.example")) < 6
+
+
+def test_nesting_without_end_takes_a_bounded_number_of_rounds(spark):
+    deep = ["".join(chr(97 + int(c)) for c in str(i)) for i in range(300)]
+    urls = ["http://trap.example/" + "/".join(deep[: i + 1]) for i in range(300)] + [f"http://h.example/{x}/{i}" for x in ("a", "b") for i in range(30)]
+    out = filter_urls(spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], PAGES), settings=TreeSettings(rounds=3)).collect()
+    assert sorted(r["page_id"] for r in out) == list(range(len(urls))) and all(r["template"] is not None for r in out)
+    assert {r["template"] for r in out if r["host"] == "h.example"} == {"/{a~}/{n}"}
+
+
 def test_purity_predicts_labels_that_were_held_back(spark):
     rng = random.Random(5)
     share = {"buy": 0.95, "read": 0.1, "mix": 0.5}
