@@ -60,6 +60,27 @@ def test_stage_and_features(spark, tmp_path):
     assert variants.columns[:2] == ["chrom", "pos"] and variants.count() > 0
 
 
+def test_gold(spark, tmp_path):
+    k5, keys = ("S1", "1", 3, "A", "G"), "study_id string, chrom string, pos bigint, ref string, alt string"
+    tables = {
+        "features": spark.createDataFrame([(*k5, g, 0.5) for g in ("G1", "G2", "G3")], keys + ", gene_id string, x double"),
+        "clusters": spark.createDataFrame([(*k5, "c")], keys + ", cluster_label string"),
+        "toploci": spark.createDataFrame([(*k5, 8.0)], keys + ", neglog_p double"),
+        "string": spark.createDataFrame([("G3", "G1", 0.95, "1", "1")], "gene_id_1 string, gene_id_2 string, string_score double, gene_1_chrom string, gene_2_chrom string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    line = '{"association_info": {"otg_id": "%s"}, "sentinel_variant": {"locus_GRCh38": {"chromosome": "1", "position": 3}, "alleles": {"reference": "A", "alternative": "G"}}, "gold_standard_info": {"gene_id": "G1", "highest_confidence": "High"}, "metadata": {"set_label": "%s"}}\n'
+    with open(f"{tmp_path}/gs.json", "w") as f:
+        f.write(line % ("S1", "a") + line % ("S2", "b"))
+    outs = [x for name in ("full", "training", "log") for x in (f"--out_{name}", f"{tmp_path}/{name}")]
+    run("gold", *[x for name in tables for x in (f"--in_{name}", f"{tmp_path}/{name}")], "--in_gs", f"{tmp_path}/gs.json", *outs)
+    status = {r["gene_id"]: r["gold_standard_status"] for r in spark.read.parquet(f"{tmp_path}/full").collect()}
+    assert status == {"G1": 1, "G2": 0, "G3": -1} and spark.read.parquet(f"{tmp_path}/training").count() == 2
+    report = {tuple(r) for r in spark.read.csv(f"{tmp_path}/log", header=True).collect()}
+    assert report == {("p_value", "a", "1", "0"), ("p_value", "b", "0", "1"), ("cluster", "a", "1", "0"), ("chosen", "a", "1", "0"), ("labelled", "a", "1", "2")}
+
+
 def test_wide(spark, tmp_path):
     s = Star(spark, SF)
     s["predictions"].write.parquet(f"{tmp_path}/long")
