@@ -438,3 +438,13 @@ def test_interlocus_equals_brute_force(spark):
         out = interlocus.interlocus_scores(df, inter, by_trait, "x").collect()
         assert len(out) == len(want)
         assert {tuple(r[:6]): tuple(round(r[c], 9) for c in ("x_unweighted", "x_target_weighted", "x_both_weighted")) for r in out} == want
+
+
+def test_scores_that_tie_as_the_sql_rounds_them_tie(spark):
+    """Products of posteriors that should be equal differ in the last bit; their logarithms decide whether p-values rank them."""
+    from genesieve.functions.scalar import ln_or_null
+
+    rows = [(0.05707317073170732,), (0.05707317073170731,), (0.18000000000000002,), (0.18,), (0.0494949494949495,), (0.049494949494949494,), (1.0,), (0.0,), (5e-324,), (math.inf,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "x double").select(ln_or_null(F.col("x"))).collect()]
+    assert got[0] == got[1] and got[2] == got[3] and got[4] > got[5]
+    assert got == [None if x == 0 else math.log(x) for (x,) in rows]
