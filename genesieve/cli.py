@@ -78,7 +78,7 @@ def features(args: argparse.Namespace) -> None:
         "polyphen": evidence.evidence_features(tags, _scored(cat.read("polyphen"), "polyphen_score"), EVIDENCE_COLUMNS["polyphen"]),
         "dhs_prmtr": evidence.evidence_features(tags, _scored(interval.where("interval_type = 'dhscor'"), "interval_score"), EVIDENCE_COLUMNS["dhs_prmtr"]),
         "enhc_tss": evidence.evidence_features(tags, _scored(interval.where("interval_type = 'fantom5'"), "interval_score"), EVIDENCE_COLUMNS["enhc_tss"]),
-        "pchicJung": evidence.tissue_features(evidence.tags_in_contacts(tags, cat.read("contacts").withColumnRenamed("bio_feature", "tissue")), EVIDENCE_COLUMNS["pchicJung"]),
+        "pchicJung": evidence.contact_features(tags, cat.read("contacts").withColumnRenamed("bio_feature", "tissue"), EVIDENCE_COLUMNS["pchicJung"]),
         "clpp": clpp_features(tags, qtl),
         "coloc": coloc_features(cat.read("coloc"), qtl),
         "distance": matrix.with_helpers(distance_features(loci, tags, cat.read("genes")), [staging.credible_set_size(tags)], [staging.study_flags(cat.read("studies"))], [cat.read("attenuation")]),

@@ -448,3 +448,28 @@ def test_scores_that_tie_as_the_sql_rounds_them_tie(spark):
     got = [r[0] for r in spark.createDataFrame(rows, "x double").select(ln_or_null(F.col("x"))).collect()]
     assert got[0] == got[1] and got[2] == got[3] and got[4] > got[5]
     assert got == [None if x == 0 else math.log(x) for (x,) in rows]
+
+
+@pytest.mark.parametrize("piece", [3, 250_000])
+def test_pairs_of_tags_and_evidence_are_never_shuffled(spark, monkeypatch, piece):
+    import random
+
+    from genesieve.operators import regions
+
+    monkeypatch.setattr(regions, "PIECE_PAIRS", piece)
+    monkeypatch.setattr(regions, "TASK_PAIRS", 10 * piece)
+    rng = random.Random(5)
+    rows = [(f"S{i % 3}", rng.choice("12"), 150_000 * (i // 40) + i, "A", "G", rng.choice("12"), 1000 * rng.randrange(30), "A", "G", rng.random(), rng.random() < 0.5) for i in range(200)]
+    t = spark.createDataFrame(rows + [("S1", None, 5, "A", "G", "1", 0, "A", "G", 0.5, True)], TAGS_DDL)
+    found = [(c, 1000 * p, "A", "G", f"G{rng.randrange(6)}", round(rng.random(), 3), rng.choice("ab")) for c in "12" for p in range(30) for _ in range(3)]
+    e = spark.createDataFrame(found + found[:5], "tag_chrom string, tag_pos long, tag_ref string, tag_alt string, gene_id string, score double, tissue string")
+    canon = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else str(v) for v in r) for r in df.select(*LOCUS_GENE, *FOUR).collect())
+    laid = evidence.evidence_features(t, e.drop("tissue"), FOUR)
+    assert canon(laid) == canon(evidence.summarise(evidence.score_tags(t, e.drop("tissue")))) != []
+    assert canon(evidence.tissue_evidence_features(t, e, FOUR)) == canon(evidence.tissue_features(evidence.score_tags(t, e), FOUR)) != []
+    spans = e.select(F.col("tag_chrom").alias("chrom"), (F.col("tag_pos") - 1500).alias("start"), (F.col("tag_pos") + 500).alias("end"), "score", "tissue", "gene_id")
+    contacts = evidence.contact_features(t, spans, FOUR)
+    assert canon(contacts) == canon(evidence.tissue_features(evidence.tags_in_contacts(t, spans), FOUR)) != []
+    for df in (laid, contacts):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.split("Generate explode(_found")[0]
