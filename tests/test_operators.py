@@ -473,3 +473,26 @@ def test_pairs_of_tags_and_evidence_are_never_shuffled(spark, monkeypatch, piece
     for df in (laid, contacts):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan.split("Generate explode(_found")[0]
+
+
+def test_density_makes_no_pairs_and_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    ends = [(rng.randrange(4_000_000), rng.choice([0, 5_000, 999_999, 1_000_000, 1_000_001, 2_500_000, -300_000, -1_200_000])) for _ in range(60)]
+    genes = [(f"G{i}", rng.choice("12"), a, a + n, a) for i, (a, n) in enumerate(ends)] + [("GN", "1", None, 5, 5)]
+    loci = [("S", rng.choice("123"), rng.randrange(-100_000, 6_000_000), "A", "G") for _ in range(150)]
+    loci += [("S", g[1], g[k] + d, "A", "C") for g in genes[:20] for k in (2, 3) for d in (-500_001, -500_000, -50_000, 100_000, 250_000, 250_001, 500_000, 500_001)]
+    loci += loci[:7] + [("S", "1", None, "A", "G"), ("S", None, 5, "A", "G")]
+    want = {}
+    for row in loci:
+        for _, chrom, a, b, _ in genes:
+            if row[2] is not None and a is not None and chrom == row[1] and (abs(row[2] - a) <= 500_000 or abs(row[2] - b) <= 500_000):
+                foot = 0 if a <= row[2] <= b else min(abs(row[2] - a), abs(row[2] - b))
+                n = want.setdefault(row, [0, 0, 0, 0])
+                for i, k in enumerate((50, 100, 250, 500)):
+                    n[i] += foot <= 1000 * k
+    out = distance.gene_density(spark.createDataFrame(loci, LOCUS_DDL), spark.createDataFrame(genes, GENES_DDL))
+    assert "_bin" not in out._jdf.queryExecution().analyzed().toString()
+    rows = out.collect()
+    assert len(rows) == len(want) and {tuple(r)[:5]: list(r)[5:] for r in rows} == want
