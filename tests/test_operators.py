@@ -496,3 +496,103 @@ def test_density_makes_no_pairs_and_equals_brute_force(spark):
     assert "_bin" not in out._jdf.queryExecution().analyzed().toString()
     rows = out.collect()
     assert len(rows) == len(want) and {tuple(r)[:5]: list(r)[5:] for r in rows} == want
+
+
+def shuffles_after_pairs(df) -> list[str]:
+    """Exchanges above the first join with genes in the plan as it is run, and windows there."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    top = plan[: plan.index("ShuffledHashJoin")]
+    return [line for line in top.splitlines() if "Exchange" in line]
+
+
+def random_places(rng, n, span=3_000_000):
+    return [(f"S{rng.randrange(2)}", rng.choice("12"), rng.randrange(span), "A", "G") for _ in range(n)]
+
+
+def random_genes(rng, n, span=3_000_000):
+    rows = [(f"G{i}", rng.choice("12"), a := rng.randrange(span), b := a + rng.randrange(0, 1_500_000), rng.choice((a, b))) for i in range(n)]
+    return [*rows, ("same", *rows[0][1:])]
+
+
+def test_sentinel_pairs_are_made_where_they_lie(spark):
+    """A locus given twice has its rows twice; pairs are neither shuffled nor sorted."""
+    import random
+
+    rng = random.Random(5)
+    loci, genes = random_places(rng, 40), random_genes(rng, 40)
+    loci.append(loci[0])
+    out = distance.sentinel_distances(spark.createDataFrame(loci, LOCUS_DDL), spark.createDataFrame(genes, GENES_DDL))
+    assert not shuffles_after_pairs(out) and "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    foot = lambda x, a, b: 0 if a <= x <= b else min(abs(x - a), abs(x - b))
+    want = []
+    for place in loci:
+        near = [(g, foot(place[2], a, b), abs(place[2] - t)) for g, c, a, b, t in genes if c == place[1] and min(abs(place[2] - a), abs(place[2] - b)) <= 500_000]
+        want += [(*place, g, f, round(math.log(min(x[1] for x in near) + 1) - math.log(f + 1), 9), round(math.log(min(x[2] for x in near) + 1) - math.log(t + 1), 9)) for g, f, t in near]
+    got = [(*[r[c] for c in LOCUS_GENE], r["foot"], round(r["dist_foot_sentinel_nbh"], 9), round(r["dist_tss_sentinel_nbh"], 9)) for r in out.collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_tag_pairs_are_made_where_they_lie(spark):
+    """Tags far from their locus, and on another chromosome, meet the genes near themselves; no pair is shuffled, however small the pieces."""
+    import random
+
+    rng = random.Random(6)
+    genes, rows = random_genes(rng, 40), []
+    for place in random_places(rng, 30):
+        rows += [(*place, rng.choice(("1", "2", place[1], place[1])), rng.choice((place[2], rng.randrange(3_000_000))), "A", "G", rng.random(), rng.random() < 0.7) for _ in range(4)]
+    t = spark.createDataFrame(rows, LOCUS_DDL + ", tag_chrom string, tag_pos long, tag_ref string, tag_alt string, weight double, in95 boolean")
+    total = {}
+    for s, c, p, ref, alt, tc, tp, _, _, w, _ in rows:
+        for g, gc, a, b, _ in genes:
+            if gc == tc and min(abs(tp - a), abs(tp - b)) <= 500_000:
+                key, d = (s, c, p, ref, alt, g), 0 if a <= tp <= b else min(abs(tp - a), abs(tp - b))
+                total[key] = total.get(key, 0) + d * w
+    want = {}
+    for s, c, p, ref, alt, tc, tp, _, _, _, sure in rows:
+        for g, gc, a, b, _ in genes:
+            if gc == tc and min(abs(tp - a), abs(tp - b)) <= 500_000 and sure:
+                key, d = (s, c, p, ref, alt, g), 0 if a <= tp <= b else min(abs(tp - a), abs(tp - b))
+                want[key] = min(want.get(key, d), d)
+    before = distance.PIECE_PAIRS
+    try:
+        for distance.PIECE_PAIRS in (before, 50):
+            out = distance.tag_distances(t, spark.createDataFrame(genes, GENES_DDL))
+            assert not shuffles_after_pairs(out)
+            got = {tuple(r[c] for c in LOCUS_GENE): r for r in out.collect()}
+            assert set(got) == set(total)
+            assert all(abs(got[k]["dist_foot_ave"] - math.log(total[k] + 1)) < 1e-9 for k in total)
+            assert {k: round(math.exp(r["dist_foot_min"]) - 1) for k, r in got.items() if r["dist_foot_min"] is not None} == want
+    finally:
+        distance.PIECE_PAIRS = before
+
+
+def test_nearest_starts_equal_brute_force(spark):
+    """Few places, so that starts, distances and loci tie; no pair of each locus and gene is made."""
+    import random
+
+    rng = random.Random(7)
+    loci = [(*p[:2], rng.randrange(40) * 5, *p[3:], i) for i, p in enumerate(random_places(rng, 60))]
+    genes = [(f"G{i}", rng.choice("12"), a := rng.randrange(40) * 5, a + 1, a) for i in range(50)]
+    out = distance.nearest_starts(spark.createDataFrame(loci, LOCUS_DDL + ", k int"), spark.createDataFrame(genes, GENES_DDL), 50)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    want = []
+    for key in {x[:5] for x in loci}:
+        pairs = sorted((abs(key[2] - a), g, x[5]) for x in loci if x[:5] == key for g, c, a, _, _ in genes if c == key[1] and a // 50 == key[2] // 50)
+        want += [(*key, k, g, n + 1) for n, (_, g, k) in enumerate(pairs[:2])]
+    assert sorted(map(tuple, out.select(*LOCUS, "k", "gene_id", "n").collect())) == sorted(want)
+
+
+def test_labels_need_no_join_of_pairs(spark):
+    """Loci that carry their gold give their genes' labels; those equal the labels of a joined matrix."""
+    import random
+
+    rng = random.Random(8)
+    places, genes = random_places(rng, 30), random_genes(rng, 30)
+    loci, g = spark.createDataFrame(places, LOCUS_DDL), spark.createDataFrame(genes, GENES_DDL)
+    gold = spark.createDataFrame([(*p, rng.choice(genes)[0], "High", rng.choice("ab"), 1) for p in rng.sample(places, 12) for _ in range(2)], LOCUS_DDL + ", gene_id string, gs_confidence string, gs_set string, gs_confidence_num int")
+    links = spark.createDataFrame([(rng.choice(genes)[0], rng.choice(genes)[0], 0.95, "1", "1") for _ in range(80)], "gene_id_1 string, gene_id_2 string, string_score double, gene_1_chrom string, gene_2_chrom string")
+    direct = labels.with_labels(distance.near_genes(loci.join(labels.gold_of_loci(gold, links), [*LOCUS], "left"), g)).select(*LOCUS_GENE, *labels.LABELS)
+    assert not shuffles_after_pairs(direct)
+    joined = labels.label_genes(distance.sentinel_distances(loci, g).select(*LOCUS_GENE), gold, links)
+    assert sorted(map(str, direct.collect())) == sorted(map(str, joined.collect()))
+    assert {r["gold_standard_status"] for r in direct.collect()} >= {None, 0}
