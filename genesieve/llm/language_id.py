@@ -180,7 +180,7 @@ def train(samples: list[tuple[str, bytes]], hidden: int = 12, epochs: int = 6, b
     return net
 
 
-def document_probabilities(net: Network, texts: list[bytes], block: int = 4096) -> np.ndarray:
+def document_probabilities(net: Network, texts: list[bytes], block: int = 1024) -> np.ndarray:
     """(documents, langs): mean over all positions; zeros for an empty text. Memory is bounded by ``block`` runs."""
     counts = np.array([-(-len(x) // RUN) for x in texts])
     total = np.zeros((len(texts), len(net.langs)))
@@ -242,7 +242,7 @@ def calibrate(net: Network, sample: list[tuple[str, list[bytes]]], lost: float =
     return replace(net, least_score=float((best[int(lost * len(best))] + blind) / 2))
 
 
-def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None, names: tuple[str, str] = ("lang_pred", "score"), block_bytes: int = 4 << 20) -> DataFrame:
+def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None, names: tuple[str, str] = ("lang_pred", "score"), block_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, lang_pred, score: the likeliest language and its pooled probability; ``und`` and 0 for a text without a letter.
 
     Null and empty texts have no letter. Texts of any length are read whole. Of equally likely languages the first
@@ -261,7 +261,7 @@ def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, pending, size = [], [], 0
-            for value in batch.column(0):
+            for value in batch.column(text_at):
                 pending.append(value.as_py())
                 size += len(pending[-1] or "")
                 if size >= block_bytes:
@@ -269,13 +269,18 @@ def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str
                     pending, size = [], 0
             if pending:
                 found += judge(pending)
-            arrays = [*batch.columns[1:], pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())]
+            arrays = [*batch.columns[extra:], pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     kept = {"doc_id": F.col(id_col).cast("long")} if keep is None else {c: F.col(c) for c in keep}
     # names of their own inside, as a kept column may have any
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), *[c.alias(f"kept{i}") for i, c in enumerate(kept.values())])
-    schema = StructType([*rows.schema.fields[1:], StructField("lang", StringType()), StructField("sure", DoubleType())])
+    sent = [c.alias(f"kept{i}") for i, c in enumerate(kept.values())]
+    if keep and text_col in keep and isinstance(docs.schema[text_col].dataType, StringType):
+        # texts are most of a batch, so they are sent once
+        rows, text_at, extra = docs.select(*sent), keep.index(text_col), 0
+    else:
+        rows, text_at, extra = docs.select(F.col(text_col).cast("string").alias("text"), *sent), 0, 1
+    schema = StructType([*rows.schema.fields[extra:], StructField("lang", StringType()), StructField("sure", DoubleType())])
     judged = rows.mapInArrow(work, schema)
     return judged.select(*[F.col(f"kept{i}").alias(c) for i, c in enumerate(kept)], F.col("lang").alias(names[0]), F.col("sure").alias(names[1]))
 

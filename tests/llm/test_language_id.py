@@ -67,3 +67,22 @@ def test_held_out_rule(spark):
 
     rows = spark.range(200).select("id", held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in rows)
+
+
+def test_texts_are_read_in_little_memory(spark):
+    """Texts that are kept are sent once, and a task's arrays don't grow with the texts."""
+    import tracemalloc
+
+    net = new_network(["a", "b", "c", "d"], 12, 1)
+    docs = spark.createDataFrame([(1, "some text", "a"), (2, None, "b"), (3, "ü" * 300, "c")], "doc_id long, text string, lang string")
+    kept = predict(docs, net, keep=("doc_id", "text", "lang"), names=("p", "s"))
+    sent = kept._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[1].splitlines()[1]
+    assert sent.count("text") + sent.count("kept1") <= 2
+    other = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in predict(docs, net).collect()}
+    assert {r["doc_id"]: (r["p"], r["s"]) for r in kept.collect()} == other and {r["doc_id"]: r["text"] for r in kept.collect()}[3] == "ü" * 300
+    texts = [b"word " * 4000] * 100
+    tracemalloc.start()
+    document_probabilities(net, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
