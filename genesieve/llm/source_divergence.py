@@ -37,18 +37,18 @@ def count_terms(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.Table:
     row, term = pc.list_parent_indices(split), pc.list_flatten(split)
     real = pc.not_equal(term, "")
     row, terms = row.filter(real), term.filter(real).dictionary_encode()
-    each = pa.table({"row": row, "term": terms.indices}).group_by(["row", "term"]).aggregate([([], "count_all")])
+    each = pa.table({"row": row, "term": terms.indices}).group_by(["row", "term"], use_threads=False).aggregate([([], "count_all")])
     each = each.append_column("lang", langs.indices.take(each["row"])).append_column("source", sources.indices.take(each["row"]))
-    sums = each.group_by(["lang", "source", "term"]).aggregate([("count_all", "sum"), ("count_all", "count")])
+    sums = each.group_by(["lang", "source", "term"], use_threads=False).aggregate([("count_all", "sum"), ("count_all", "count")])
     found = [langs.dictionary.take(sums["lang"]), sources.dictionary.take(sums["source"]), terms.dictionary.take(sums["term"]), sums["count_all_sum"], sums["count_all_count"]]
-    groups = pa.table({"lang": langs.indices, "source": sources.indices}).group_by(["lang", "source"]).aggregate([([], "count_all")])
+    groups = pa.table({"lang": langs.indices, "source": sources.indices}).group_by(["lang", "source"], use_threads=False).aggregate([([], "count_all")])
     none = pa.nulls(len(groups), pa.string())
     seen = [langs.dictionary.take(groups["lang"]), sources.dictionary.take(groups["source"]), none, pa.array(np.zeros(len(groups), np.int64)), groups["count_all"]]
     return pa.concat_tables([pa.table(c, names=COUNTS.names).cast(COUNTS) for c in (found, seen)])
 
 
 def _merged(parts: list[pa.Table]) -> pa.Table:
-    sums = pa.concat_tables(parts).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+    sums = pa.concat_tables(parts).group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
     return pa.table([sums["lang"], sums["source"], sums["term"], sums["n_sum"], sums["docs_sum"]], schema=COUNTS)
 
 

@@ -3,6 +3,8 @@
 import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import duckdb
@@ -99,6 +101,20 @@ def test_slices_inside_a_buffer(spark):
     assert {k: v for k, v in got.items() if k is not None} == want
 
 
+def test_counting_starts_no_threads():
+    """Threads of a group-by each hold hash tables of their own, beside the task's."""
+    code = """
+import os, pyarrow as pa
+from genesieve.llm.source_divergence import _count_task
+texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + i * j % 26)}" for j in range(300)) for i in range(3000)]
+batch = pa.RecordBatch.from_arrays([pa.array(["l"] * 3000), pa.array(["s"] * 3000), pa.array(texts)], names=["a", "b", "c"])
+before = len(os.listdir("/proc/self/task"))
+assert sum(t.num_rows for t in _count_task(iter([batch]))) > 100
+assert len(os.listdir("/proc/self/task")) == before
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))))
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
