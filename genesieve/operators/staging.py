@@ -11,6 +11,7 @@ from genesieve.functions.scalar import gene_of_phenotype, neglog10
 from genesieve.operators.observed import with_values
 from genesieve.operators.ranking import distinct_by
 from genesieve.schema import LEAD, TAG
+from genesieve.sources.scratch import laid_out
 
 #: Tags below this posterior are not used.
 MIN_POSTERIOR = 0.001
@@ -31,12 +32,12 @@ def unify_credible_sets(fine_mapped: DataFrame, pics: DataFrame) -> DataFrame:
     return both.withColumns({"combined_postprob": choose("fm_postprob", "pics_postprob"), "combined_is95": choose("fm_is95", "pics_is95")}).drop("has_fm")
 
 
-def prepare_qtl(fine_mapped: DataFrame, genes_of_phenotypes: DataFrame) -> DataFrame:
-    """QTL credible sets with genes: from the lookup, else from the phenotype's own id ('' if it has none)."""
+def prepare_qtl(fine_mapped: DataFrame, genes_of_phenotypes: DataFrame, parts: int = 0) -> DataFrame:
+    """QTL credible sets with genes: from the lookup, else from the phenotype's own id ('' if it has none). Joined in ``parts`` partitions (0: Spark's choice)."""
     kept = fine_mapped.where((F.col("type") != "gwas") & (F.col("postprob") >= MIN_POSTERIOR))
     lookup = genes_of_phenotypes.select("phenotype_id", F.col("gene_id").alias("_known"))
     same = (F.col("lead_chrom") == F.col("tag_chrom")) & (F.col("lead_pos") == F.col("tag_pos")) & (F.col("lead_ref") == F.col("tag_ref")) & (F.col("lead_alt") == F.col("tag_alt"))
-    out = kept.join(lookup, "phenotype_id", "left").withColumn("gene_id", F.coalesce("_known", gene_of_phenotype(F.col("phenotype_id"))))
+    out = laid_out(kept, parts, "phenotype_id").join(laid_out(lookup, parts, "phenotype_id"), "phenotype_id", "left").withColumn("gene_id", F.coalesce("_known", gene_of_phenotype(F.col("phenotype_id"))))
     out = out.withColumns({"is_sentinel": F.coalesce(same, F.lit(False)), "qtl_neglog_p": neglog10(F.col("tag_pval_cond"))}).where(F.col("gene_id").isNotNull())
     return out.select("type", "study_id", "bio_feature", "phenotype_id", "gene_id", *LEAD, *TAG, "postprob", "qtl_neglog_p", "is_sentinel")
 

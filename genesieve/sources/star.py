@@ -8,12 +8,13 @@ same rows and only the operators differ.
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from genesieve.operators.distance import nearest_starts
 from genesieve.schema import LOCUS as LOCUS_COLUMNS
-from genesieve.sources.scratch import materialise
+from genesieve.sources.scratch import laid_out, materialise
 
 #: Added before rounding to 6 places, so that decimals that end in 5 are rounded alike whatever their last bits.
 NUDGE = 3.7e-10
@@ -101,6 +102,14 @@ VIEWS = {
         GROUP BY study_id, chrom, pos, ref, alt, gene_id, ft""",
 }
 
+#: What a view joins or groups its inputs by. Adaptive execution joins partitions by their compressed bytes, so a task's rows would grow with the tables;
+#: for tables of many rows these inputs are laid out by such keys in as many partitions as keep one at about ``PART_LINES`` line items.
+LAID = {
+    "lines": {"lineitem": ("l_orderkey",), "loci": ("o_orderkey",)}, "tag_sums": {"lines": ("chrom", "pos")}, "predictions": {"lines": ("chrom", "pos")},
+    "fm_qtl": {"qtl_sums": ("l_partkey", "chrom", "lead_pos")},
+}
+PART_LINES = 250_000
+
 #: Views that Spark makes by an operator: of ``gold_near`` its rows with n up to 2 (no view reads others), without a pair for each locus and gene.
 OPERATORS = {"gold_near": lambda s: nearest_starts(s["loci"].select(*LOCUS_COLUMNS, "o_orderpriority"), s["genes"], 500_000)}
 
@@ -121,11 +130,18 @@ class Star:
                 self.made[name] = OPERATORS[name](self)
             elif name in VIEWS:
                 sql = VIEWS[name].replace('"start"', "`start`").replace('"end"', "`end`")
-                self.made[name] = self.spark.sql(sql, **{d: self[d] for d in dependencies(sql)})
+                keys = LAID.get(name, {})
+                self.made[name] = self.spark.sql(sql, **{d: laid_out(self[d], self.parts, *keys[d]) if d in keys else self[d] for d in dependencies(sql)})
             else:
                 self.made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self.made[name]
 
+    @cached_property
+    def parts(self) -> int:
+        """Partitions of what grows with the line items; 0 if the cores have no more than one each, when Spark chooses."""
+        n = -(-self["lineitem"].count() // PART_LINES)
+        return n if n > self.spark.sparkContext.defaultParallelism else 0
+
     def stage(self, *names: str) -> None:
         """Write views to the shared folder: those that several steps of a query read are then made once."""
         for name in names:

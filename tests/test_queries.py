@@ -8,6 +8,7 @@ import pytest
 
 from genesieve.plans import registry
 from genesieve.schema import LOCUS_GENE, feature_sets
+from genesieve.sources import star
 
 SF = "/root/testdata/sf0.001"
 SQL = registry.oracle_sql()
@@ -70,3 +71,16 @@ def test_importances_and_parameters_are_those_of_trained_models(spark):
         assert abs(total - 1) < 1e-3 or (total == 0 and all(r["splits"] == 0 for r in rows))
     chosen = registry.queries()["model_parameters"](spark, SF).collect()
     assert sum(r["n"] for r in chosen if r["parameter"] == "max_depth") == 5
+
+
+@pytest.mark.parametrize("name", ["qtl_prepare", "completeness"])
+def test_partitions_grow_with_the_lines(spark, monkeypatch, name):
+    """Laid out by keys, the tables of a query have as many partitions as keep one small, and the same rows."""
+    rows = lambda df: sorted(map(str, df.collect()))
+    want = rows(registry.queries()[name](spark, SF))
+    monkeypatch.setattr(star, "PART_LINES", 500)
+    found = star.Star(spark, SF)
+    assert found.parts == -(-found["lineitem"].count() // 500) > spark.sparkContext.defaultParallelism
+    for view in ("lines", "qtl_sums", "tags", "fm_qtl", "predictions"):
+        assert found[view].rdd.getNumPartitions() == found.parts, view
+    assert rows(registry.queries()[name](spark, SF)) == want
