@@ -596,3 +596,15 @@ def test_labels_need_no_join_of_pairs(spark):
     joined = labels.label_genes(distance.sentinel_distances(loci, g).select(*LOCUS_GENE), gold, links)
     assert sorted(map(str, direct.collect())) == sorted(map(str, joined.collect()))
     assert {r["gold_standard_status"] for r in direct.collect()} >= {None, 0}
+
+
+def test_partners_are_not_shuffled_after_their_cells(spark):
+    g = lambda s, p, gene, c: (s, "1", p, "A", "G", gene, c, ["T", s])
+    rows = [g("S", 1, "g", "c1"), g("S", 2, "a", "c2"), g("S", 2, "b", "c2"), g("R", 3, "a", "c3"), g("R", 4, "g", "c1"), g("S", 5, "g", "c1")]
+    data = spark.createDataFrame(rows, LOCUS_DDL + ", gene_id string, cluster_label string, trait_efos array<string>")
+    links = spark.createDataFrame([("g", "a", 0.4), ("g", "b", 0.6)], "gene_id string, partner string, score double")
+    both = interlocus.interlocus_features(data, links, "target_gene || ':' || score")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "Exchange" not in plan.split("FlatMapCoGroupsInArrow")[0]
+    found = {r["pos"]: (r["interlocus_study_partners"], round(r["interlocus_study_target_weighted"], 6), r["interlocus_trait_partners"], round(r["interlocus_trait_target_weighted"], 6)) for r in both.collect()}
+    assert found == {1: (["a:0.4", "b:0.6"], 0.5, ["a:0.4", "b:0.6"], 0.7), 5: (["a:0.4", "b:0.6"], 0.5, ["a:0.4", "b:0.6"], 0.7), 4: (["a:0.4"], 0.4, ["a:0.4", "b:0.6"], 0.7)}
