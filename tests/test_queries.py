@@ -84,3 +84,17 @@ def test_partitions_grow_with_the_lines(spark, monkeypatch, name):
     for view in ("lines", "qtl_sums", "tags", "fm_qtl", "predictions"):
         assert found[view].rdd.getNumPartitions() == found.parts, view
     assert rows(registry.queries()[name](spark, SF)) == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_only_loci_with_gold_meet_genes_for_training(spark):
+    from genesieve.operators import distance, labels
+    from genesieve.plans import queries
+
+    s = star.Star(spark, SF)
+    chosen = labels.choose_gold(queries._gold(s))
+    found = queries._gold_pairs(s, chosen)
+    columns = [*LOCUS_GENE, "dist_foot_sentinel_nbh", "dist_tss_sentinel_nbh", *labels.LABELS]
+    every = labels.label_genes(distance.sentinel_distances(s["loci"], s["genes"]), chosen, s["coloc_network"])
+    want = canonical(every.where("gold_standard_status IS NOT NULL").select(*columns).collect())
+    assert canonical(found.select(*columns).collect()) == want and want
