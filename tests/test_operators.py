@@ -608,3 +608,23 @@ def test_partners_are_not_shuffled_after_their_cells(spark):
     assert plan.count("FlatMapCoGroupsInArrow") == 1 and "Exchange" not in plan.split("FlatMapCoGroupsInArrow")[0]
     found = {r["pos"]: (r["interlocus_study_partners"], round(r["interlocus_study_target_weighted"], 6), r["interlocus_trait_partners"], round(r["interlocus_trait_target_weighted"], 6)) for r in both.collect()}
     assert found == {1: (["a:0.4", "b:0.6"], 0.5, ["a:0.4", "b:0.6"], 0.7), 5: (["a:0.4", "b:0.6"], 0.5, ["a:0.4", "b:0.6"], 0.7), 4: (["a:0.4"], 0.4, ["a:0.4", "b:0.6"], 0.7)}
+
+
+def test_credible_sets_meet_where_they_are_laid_out(spark):
+    keys = "study_id string, lead_chrom string, lead_pos bigint, lead_ref string, lead_alt string, tag_chrom string, tag_pos bigint, tag_ref string, tag_alt string"
+    k = lambda s, p: (s, "1", p, "A", "G", "1", p, "A", "G")
+    fm = spark.createDataFrame([(*k("S", 1), "gwas", 0.5, True), (*k("S", 1), "gwas", 0.4, False), (*k("S", 2), "gwas", 0.3, True), (*k(None, 3), "gwas", 0.2, True)], f"{keys}, type string, postprob double, is95_credset boolean")
+    pics = spark.createDataFrame([(*k("S", 1), 0.9, True), (*k("R", 4), 0.8, True), (*k(None, 3), 0.7, True)], f"{keys}, pics_postprob double, pics_95perc_credset boolean")
+    out = staging.unify_credible_sets(fm, pics, 7)
+    assert out.rdd.getNumPartitions() == 7
+    found = sorted((str(r["study_id"]), r["lead_pos"], str(r["fm_postprob"]), str(r["pics_postprob"]), r["combined_postprob"] or 0) for r in out.collect())
+    assert found == [("None", 3, "0.2", "None", 0), ("None", 3, "None", "0.7", 0.7), ("R", 4, "None", "0.8", 0.8), ("S", 1, "0.4", "0.9", 0.4), ("S", 1, "0.5", "0.9", 0.5), ("S", 2, "0.3", "None", 0.3)]
+
+
+def test_coloc_rows_take_p_values_of_their_leads_where_they_lie(spark):
+    qtl = "qtl_study string, qtl_bio_feature string, qtl_phenotype string, qtl_chrom string, qtl_pos bigint, qtl_ref string, qtl_alt string"
+    leads = spark.createDataFrame([("Q", "F", "P", "1", 1, "A", "G", 3.0), ("Q", None, "P", "1", 1, "A", "G", 9.0)], f"{qtl}, neglogp double")
+    rows = [("S", "1", p, "A", "G", "g", "eqtl", "Q", f, "P", "1", q, "A", "G", 0.5) for p, f, q in ((1, "F", 1), (2, None, 1), (3, "F", 2))]
+    scored = spark.createDataFrame(rows, f"{LOCUS_DDL}, gene_id string, qtl_type string, {qtl}, score double")
+    out = coloc.best_by_type(scored, leads, ("x", "p", "gap"), parts=7)
+    assert out.rdd.getNumPartitions() == 7 and {r["pos"]: r["eqtl_p"] for r in out.collect()} == {1: 3.0, 2: None, 3: None}
