@@ -628,3 +628,46 @@ def test_coloc_rows_take_p_values_of_their_leads_where_they_lie(spark):
     scored = spark.createDataFrame(rows, f"{LOCUS_DDL}, gene_id string, qtl_type string, {qtl}, score double")
     out = coloc.best_by_type(scored, leads, ("x", "p", "gap"), parts=7)
     assert out.rdd.getNumPartitions() == 7 and {r["pos"]: r["eqtl_p"] for r in out.collect()} == {1: 3.0, 2: None, 3: None}
+
+
+def test_cells_where_nothing_meets_have_sums_of_the_declared_type(spark):
+    """A cell whose sources meet no partner makes no row, and fails no job."""
+    df = spark.createDataFrame([("S1", "1", 1, "A", "G", "g", "c1", ["T"]), ("S2", "1", 9, "A", "G", "h", "c2", ["U"])], LOCUS_DDL + ", gene_id string, cluster_label string, trait_efos array<string>")
+    links = spark.createDataFrame([("g", "h", 0.5)], "gene_id string, partner string, score double")
+    for by_trait in (True, False):
+        assert interlocus.interlocus_scores(df, links, by_trait, "x").collect() == []
+    assert interlocus.interlocus_features(df, links).collect() == []
+
+
+def test_positives_and_dropouts_need_no_pairs(spark):
+    """Genes of both kinds of ends, twice or without an id or an end, at loci given twice: what the labelled rows tell, but without making them."""
+    import random
+
+    rng = random.Random(8)
+    at = lambda: rng.randrange(4_000_000)
+    genes = [(rng.choice(["G1", "G2", "G3", "G4", None]), rng.choice("12"), a := at(), rng.choice([a + 30_000, a + 2_500_000, a - 20_000, None]), a) for _ in range(60)]
+    genes = spark.createDataFrame(genes, "gene_id string, chrom string, gene_start long, gene_end long, tss long")
+    loci = [(f"S{i % 2}", rng.choice("12"), at(), "A", "G") for i in range(30)]
+    gold = [(*x, rng.choice(["G1", "G2", None]), rng.choice(["High", "Low"]), rng.choice(["a", "b", None]), 1) for x in loci[:20] for _ in range(2)]
+    gold = spark.createDataFrame(gold, LOCUS_DDL + ", gene_id string, gs_confidence string, gs_set string, gs_confidence_num int")
+    loci = spark.createDataFrame([*loci, *loci[:5]], LOCUS_DDL)
+    links = spark.createDataFrame([("G3", "G1", 0.95, "1", "1")], "gene_id_1 string, gene_id_2 string, string_score double, gene_1_chrom string, gene_2_chrom string")
+    labelled = labels.with_labels(distance.near_genes(loci.join(labels.gold_of_loci(gold, links), [*LOCUS]), genes))
+    want = labelled.where("gs_set IS NOT NULL").groupBy("gs_set").agg(F.count_if(F.col("gold_standard_status") == 1), F.count_if(F.col("gold_standard_status") != 1))
+    known = labels.gold_of_loci(gold, None)
+    own = loci.join(known, [*LOCUS])
+    positives = distance.own_genes_near(own, "_gold", genes)
+    yes = labelled.where("gold_standard_status = 1").select(*LOCUS_GENE)
+    assert sorted(positives.select(*LOCUS_GENE).collect()) == sorted(yes.collect()) != []
+    told = labels.labelled_report(distance.near_counts(own.select(*LOCUS), genes), positives, known)
+    assert sorted(told.collect()) == sorted(want.collect()) != []
+
+
+def test_six_places_are_those_of_decimal_numbers(spark):
+    from genesieve.plans.queries import _six_places, rounded
+
+    values = [0.0, -0.0, 5e-7, -5e-7, 2.5e-6, 1e-10, -1e-10, 0.1 + 0.2, -3.1234565, 123456.7891235, 999_999_999.9999995, 1e9, 12345678901.123457, 1e300, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").unionByName(spark.range(20_000).select((F.xxhash64("id") / 1e14).alias("x")))
+    off = df.select("x", F.round("x", 6).cast("string").alias("a"), _six_places(F.col("x")).cast("string").alias("b")).where(~F.col("a").eqNullSafe(F.col("b")))
+    assert off.collect() == []
+    assert rounded(df.limit(3)).dtypes == [("x", "double")]
