@@ -671,3 +671,56 @@ def test_six_places_are_those_of_decimal_numbers(spark):
     off = df.select("x", F.round("x", 6).cast("string").alias("a"), _six_places(F.col("x")).cast("string").alias("b")).where(~F.col("a").eqNullSafe(F.col("b")))
     assert off.collect() == []
     assert rounded(df.limit(3)).dtypes == [("x", "double")]
+
+
+def test_dense_regions_are_cut_by_position_before_they_are_dealt(spark):
+    """What is known of a tag goes to the narrow region that holds it; only a narrowest region that still has many pairs is dealt by a hash."""
+    from genesieve.operators import regions
+
+    most = regions.REGION // regions.FINEST
+    rows = [("1", i, regions.PIECE_PAIRS // 2) for i in range(most)] + [("1", most, 10), ("1", most + 7, 10), ("2", -1, 3 * regions.PIECE_PAIRS)]
+    got = {(r["chrom"], r["_fine"]): (r["_at"], r["_pieces"]) for r in regions._places(spark.createDataFrame(rows, "chrom string, _fine long, _pairs long")).collect()}
+    assert [got["1", i] for i in range(most)] == [(i // 2 * 2, 1) for i in range(most)]
+    assert got["1", most] == got["1", most + 7] == (most, 1)
+    assert got["2", -1][1] == 3 and len(got) == len(rows)
+
+
+def test_clpp_pairs_are_made_where_they_lie(spark, monkeypatch):
+    import random
+    from collections import defaultdict
+
+    from genesieve.operators import regions
+
+    monkeypatch.setattr(regions, "PIECE_PAIRS", 20)
+    rng = random.Random(9)
+    t = [(f"S{i % 3}", "1", 150_000 * (i // 8), "A", "G", "1", 1000 * rng.randrange(12), "A", "G", rng.randrange(1, 5) / 8, True) for i in range(60)]
+    keys = ("type", "study_id", "bio_feature", "phenotype_id", "lead_chrom", "lead_pos", "lead_ref", "lead_alt")
+    q = [(rng.choice(["eqtl", "sqtl"]), "Q1", rng.choice(["b", None]), f"P{rng.randrange(3)}", rng.choice(["G1", "G2", None]), "1", 1000 * rng.randrange(12), "A", "G", "1", 1000 * rng.randrange(12), "A", "G", rng.randrange(3) / 4, rng.choice([1.0, 2.0, None]), rng.random() < 0.5) for _ in range(80)]
+    names = ("type", "study_id", "bio_feature", "phenotype_id", "gene_id", "lead_chrom", "lead_pos", "lead_ref", "lead_alt", "tag_chrom", "tag_pos", "tag_ref", "tag_alt", "postprob", "qtl_neglog_p", "is_sentinel")
+    q = [dict(zip(names, r, strict=True)) for r in q]
+    ddl = ", ".join(f"{n} {'long' if n.endswith('_pos') else 'double' if n in ('postprob', 'qtl_neglog_p') else 'boolean' if n == 'is_sentinel' else 'string'}" for n in names)
+    out = coloc.clpp_features(spark.createDataFrame(t, TAGS_DDL), spark.createDataFrame([tuple(r.values()) for r in q], ddl))
+    sums, leads = defaultdict(float), defaultdict(list)
+    for r in q:
+        own = tuple(r[k] for k in keys[1:])
+        if r["is_sentinel"] and r["qtl_neglog_p"] is not None and None not in own:
+            leads[own].append(r["qtl_neglog_p"])
+    for x in t:
+        for r in q:
+            if r["gene_id"] and x[6] == r["tag_pos"]:
+                sums[(*x[:5], r["gene_id"], *[r[k] for k in keys])] += x[9] * r["postprob"]
+    best = defaultdict(list)
+    for k, v in sums.items():
+        best[(*k[:6], k[6])].append((math.log(v) if v else -math.inf, min(leads.get(k[7:], [-math.inf]))))
+    want = {k: max(v) for k, v in best.items()}
+    tops = defaultdict(lambda: -math.inf)
+    for k, (score, _) in want.items():
+        tops[(*k[:5], k[6])] = max(tops[(*k[:5], k[6])], score)
+    known = lambda v: None if v is None or v == -math.inf else round(v, 9)
+    got = {tuple(r[c] for c in LOCUS_GENE): r for r in out.collect()}
+    assert set(got) == {k[:6] for k in want} and len(got) > 20
+    for k, (score, p) in want.items():
+        r, x = got[k[:6]], k[6]
+        assert [known(r[f"{x}_pics_clpp_{n}"]) for n in ("max", "max_neglogp")] == [known(score), known(p)]
+        assert known(r[f"{x}_pics_clpp_max_nhb"]) == (known(score - tops[(*k[:5], x)]) if score > -math.inf else None)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString().split("Generate explode(_found")[0]
