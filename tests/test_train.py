@@ -215,3 +215,30 @@ def test_no_positives_and_empty(spark):
     assert got.runs.count() == 2 and {r["y_proba"] for r in train.held_out_predictions(df, got, {"one": ("near",)}).collect()} == {0.5}
     none = train.train_all(df.limit(0), {"one": ("near",)}, outer_folds=2, draws=1, most_trees=2)
     assert train.held_out_predictions(df.limit(0), none, {"one": ("near",)}).count() == 0
+
+
+def test_models_grown_in_tasks_equal_those_of_jobs(spark, monkeypatch):
+    """Few rows: each task grows models of its own; the same trees, losses and stops as by a job a level."""
+    table, _ = prepared(spark, labelled(spark, n=300))
+    table = materialise(table, "binned")
+    grown = []
+    for alone in (0, 50_000):
+        monkeypatch.setattr(boosting, "ALONE_ROWS", alone)
+        specs = [
+            Spec(("gbt", "both", "gs", f"fold{i}=2"), Settings(n_trees=6 + i, max_depth=2 + i % 2, subsample=0.7, colsample_bylevel=0.6), (0, 1), frozenset({"2", "3"}), frozenset({"3"}) if i else frozenset(), 0, i)
+            for i in range(3)
+        ]
+        boosting.grow(table, specs, early_stop=2)
+        grown.append([(s.losses, s.stopped, [[x.tolist() for x in vars(t).values()] for t in s.trees]) for s in specs])
+    assert grown[0] == grown[1] and all(trees for _, _, trees in grown[1])
+
+
+def test_models_of_the_matrix_have_the_command_lines_trees(monkeypatch):
+    """No smaller number of trees than the command line's, and its patience."""
+    from genesieve.plans import queries
+
+    seen = {}
+    monkeypatch.setattr(queries, "_training_rows", lambda s: None)
+    monkeypatch.setattr(queries.train, "train_all", lambda rows, sets, **given: seen.update(given, sets=sets))
+    queries._trained(None)
+    assert (seen["most_trees"], seen["early_stop"], len(seen["sets"])) == (1000, 10, 11)
