@@ -724,3 +724,8 @@ def test_clpp_pairs_are_made_where_they_lie(spark, monkeypatch):
         assert [known(r[f"{x}_pics_clpp_{n}"]) for n in ("max", "max_neglogp")] == [known(score), known(p)]
         assert known(r[f"{x}_pics_clpp_max_nhb"]) == (known(score - tops[(*k[:5], x)]) if score > -math.inf else None)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString().split("Generate explode(_found")[0]
+
+
+def test_a_piece_of_a_region_is_no_smaller_than_a_task(spark):
+    """Each piece gets a copy of the genes near its region, so smaller pieces would shuffle more genes for the same task."""
+    assert distance.PIECE_PAIRS >= distance.TASK_PAIRS
